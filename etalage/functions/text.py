@@ -25,15 +25,23 @@ def is_blank(c: Column) -> Column:
 
 
 def capitalise(c: Column) -> Column:
-    """First letter upper case, the rest lower case."""
-    return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
+    """First letter upper case, the rest lower case; a letter that widens (``ß``) gives ``Ss``."""
+    first = F.upper(F.left(c, F.lit(1)))
+    return F.concat(F.left(first, F.lit(1)), F.lower(F.substr(first, F.lit(2))), F.lower(F.substr(c, F.lit(2))))
 
 
 def initcap_words(c: Column) -> Column:
-    """Capitalise every run of letters and digits, so that ``pointe-noire`` gives ``Pointe-Noire``."""
+    """Capitalise every run of letters and digits, so that ``pointe-noire`` gives ``Pointe-Noire``.
+
+    Letters map one to one: ``ß``, which has no single upper-case form, stays.
+    """
+    def capital(run: Column) -> Column:
+        first = F.left(run, F.lit(1))
+        upper = F.upper(first)
+        return F.concat(F.when(F.length(upper) == 1, upper).otherwise(first), F.substr(run, F.lit(2)))
+
     runs = F.regexp_extract_all(F.lower(c), F.lit(_WORDS), F.lit(0))
-    return F.array_join(F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))),
-                                                               F.substr(run, F.lit(2)))), "")
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def upper_name(c: Column) -> Column:
