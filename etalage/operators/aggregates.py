@@ -71,7 +71,7 @@ def top_products(tx: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
     The rank of a row depends on the rows above it only, so it is taken over the ``top_n`` rows; the
     share divides by the total over all products.
     """
-    sales = product_sales(tx)
+    sales = materialise(product_sales(tx), "sales")
     total = sales.agg(F.sum("ca_total_xaf").alias("total")).scalar()
     best = top_k(sales, top_n, F.desc("ca_total_xaf"), F.asc("produit_id"))
     by_revenue = Window.orderBy(F.desc("ca_total_xaf"))  # over top_n rows
@@ -100,14 +100,18 @@ def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS) -> DataFrame:
 
 
 def client_activity(tx: DataFrame) -> DataFrame:
-    """Recency, frequency and value per client; recency counts from the latest date of all."""
-    latest = tx.agg(F.max("date_transaction").alias("d")).scalar()
-    per_client = tx.where(F.col("client_id").isNotNull()).groupBy("client_id").agg(
+    """Recency, frequency and value per client; recency counts from the latest date of all.
+
+    The per-client table is written, so the fact is scanned once for it and for the latest date.
+    Rows without a client count for that date only.
+    """
+    per_client = materialise(tx.groupBy("client_id").agg(
         F.max("date_transaction").alias("derniere_transaction"),
         F.count("transaction_id").alias("nb_transactions"),
         _revenue().alias("ca_total_xaf"),
-    )
-    return per_client.withColumns({
+    ), "activity")
+    latest = per_client.agg(F.max("derniere_transaction").alias("d")).scalar()
+    return per_client.where(F.col("client_id").isNotNull()).withColumns({
         "recence_jours": F.datediff(latest, F.col("derniere_transaction")),
         "panier_moyen_xaf": round_half_even(ratio(F.col("ca_total_xaf"), F.col("nb_transactions"))),
     })
@@ -130,7 +134,7 @@ def rfm_quantile(tx: DataFrame, orientation: str = "best_is_5", exact: bool = Tr
     if orientation not in ("best_is_5", "literal"):
         raise ValueError(f"unknown orientation: {orientation}")
     best_is_5 = orientation == "best_is_5"
-    clients = materialise(client_activity(tx), "rfm")
+    clients = client_activity(tx)
 
     def score(col: str, rising: bool) -> Column:
         edges = quantiles(clients, col, QUINTILES, exact).scalar()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from etalage import contracts as K
 from etalage.functions.text import lookup
+from etalage.storage import spread
 
 AS_OF = "2001-12-31"
 AMOUNT_MIN, AMOUNT_MAX = 5_000, 100_000
@@ -33,7 +34,7 @@ class Star:
 
     def transactions(self, price: bool = True, order: bool = True) -> DataFrame:
         """The fact; ``price`` joins the catalogue, ``order`` joins client, payment and status."""
-        line = self.table("lineitem")
+        line = spread(self.table("lineitem"), "l_orderkey", "l_linenumber")
         if price:
             line = line.join(self.table("part").select("p_partkey", "p_retailprice"),
                              F.col("l_partkey") == F.col("p_partkey"), "left")

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
 
+# A written table of at most this many rows may be ranked in one task.
+SMALL_ROWS = 200_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared scratch folder; a fresh local one only for a local session without it."""
@@ -40,6 +43,21 @@ def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_small(written: DataFrame, limit: int | None = None) -> bool:
+    """Whether a written table has few enough rows for one task; reads file footers only."""
+    return written.count() <= (SMALL_ROWS if limit is None else limit)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a table that arrives in fewer splits than there are cores, else leave it alone.
+
+    A file of a few row groups would otherwise keep all its work on as many tasks.  Tables of any size
+    have more splits than cores, and no shuffle is added for them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this application materialised; their DataFrames can no longer be read."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))

@@ -24,7 +24,7 @@ def _key(row: tuple) -> tuple:
 
 
 def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str, limit: int = 5) -> list[str]:
-    """Empty when both agree; doubles must be equal to 12 digits."""
+    """Empty when both agree, doubles to the last bit."""
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
@@ -51,5 +51,5 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str, limit:
 
 def _same(x, y) -> bool:
     if isinstance(x, float) and isinstance(y, float):
-        return x == y or math.isclose(x, y, rel_tol=1e-12) or (math.isnan(x) and math.isnan(y))
+        return x == y or (math.isnan(x) and math.isnan(y))
     return x == y
