@@ -13,14 +13,17 @@ from etalage.functions.text import valid_email
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken`` is the failing condition (null counts as broken); ``message`` may use the row."""
+    """``broken`` is the failing condition (null counts as broken).
+
+    ``message`` may use the row; where it is null, the rule's name stands for it.
+    """
 
     name: str
     broken: Column
     message: Column
 
     def error(self) -> Column:
-        return F.when(F.coalesce(self.broken, F.lit(True)), self.message)
+        return F.when(F.coalesce(self.broken, F.lit(True)), F.coalesce(self.message, F.lit(self.name)))
 
 
 def errors(rules: Sequence[Rule]) -> Column:

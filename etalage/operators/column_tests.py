@@ -115,7 +115,7 @@ def _row_tests(df: DataFrame, tests: Sequence[ColumnTest]) -> DataFrame:
 
 def _unique_test(df: DataFrame, test: ColumnTest) -> DataFrame:
     keys = list(test.key) or [test.column]
-    repeated = df.na.drop(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = df.na.drop(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
     return _result(repeated.agg(F.count(F.lit(1)).alias("n")), test, F.col("n"))
 
 

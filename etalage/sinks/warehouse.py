@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from etalage import contracts as K
@@ -55,7 +55,7 @@ def load_table(df: DataFrame, root: str, table: str, strategy: str = REPLACE, ke
             entry["nb_lignes_inserees"] = source.get["n"]
         entry["statut"] = DONE if source.get["n"] else SKIPPED
         entry["emplacement"] = location if source.get["n"] else None
-    except PySparkException as error:
+    except Exception as error:  # journaled, then raised as it came
         entry["erreur"] = str(error)[:2000]
         _append_journal(spark, root, entry)
         raise
