@@ -45,6 +45,11 @@ def month_index(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c) - 1
 
 
+def month_start(index: Column) -> Column:
+    """First day of the month with that index."""
+    return F.make_date(F.floor(index / 12).cast("int"), (index % 12 + 1).cast("int"), F.lit(1))
+
+
 def distinct_months(c: Column) -> Column:
     """Aggregate: the set of months seen.  Bounded by the calendar, whatever the number of rows."""
     return F.collect_set(month_index(c))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from etalage import contracts as K
 from etalage.functions.text import is_blank
+from etalage.storage import materialise
 
 
 def missing_id_filter(df: DataFrame, *id_cols: str) -> DataFrame:
@@ -94,11 +95,14 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: ``doublons``, the rows beyond the first of each set of identical rows.
 
-    Only a 64-bit hash per row is shuffled; whole rows are compared for repeated hashes alone.
+    Only a 64-bit hash per row is shuffled; whole rows are compared for repeated hashes alone.  The
+    repeated hashes are written, so that Spark knows their size when it plans the second pass and
+    leaves the other rows where they are if it can.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.select(F.xxhash64(*columns).alias("__h"), F.struct(*columns).alias("__row"))
     repeated = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__h")
+    repeated = materialise(repeated, "repeated")
     return (hashed.join(repeated, "__h", "left_semi")
                   .groupBy("__h", "__row").agg(F.count(F.lit(1)).alias("n"))
                   .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("doublons")))

@@ -63,11 +63,12 @@ def run(sources: Mapping[str, DataFrame], root: str, run_id: str, as_of: str | d
 
 def models(sources: Mapping[str, DataFrame], as_of: str | dt.date, lo: float = K.AMOUNT_MIN,
            hi: float = K.AMOUNT_MAX, tiebreak: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """The staging views and the three marts.  The staged fact is written once for the marts."""
+    """The staging tables and the three marts.  The staged tables are written once for the marts: the
+    fact because all three read it, the dimensions so that Spark knows their size when it joins them."""
     ties = {"tiebreak": tiebreak} if tiebreak else {}
-    clients = stg_clients(sources["clients"])
-    products = stg_products(sources["produits"])
-    stores = stg_stores(sources["magasins"], as_of)
+    clients = materialise(stg_clients(sources["clients"]), "stg_clients")
+    products = materialise(stg_products(sources["produits"]), "stg_produits")
+    stores = materialise(stg_stores(sources["magasins"], as_of), "stg_magasins")
     tx = materialise(stg_transactions(sources["transactions"], lo, hi, **ties), "stg_transactions")
     return {
         "stg_clients": clients,

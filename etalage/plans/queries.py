@@ -55,13 +55,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(fn) for name, fn in REGISTRY.items()}
 
 
+def staged(star: Star) -> DataFrame:
+    return S.stg_transactions(star.transactions(), AMOUNT_MIN, AMOUNT_MAX)
+
+
+def staged_dimensions(star: Star) -> list[DataFrame]:
+    """Clients, products and stores as written staging tables."""
+    return [star.written(S.stg_clients(star.clients()), "stg_clients"),
+            star.written(S.stg_products(star.products()), "stg_products"),
+            star.written(S.stg_stores(star.stores(), AS_OF), "stg_stores")]
+
+
 # ---------------------------------------------------------------------------------------------
 # aggregates
 # ---------------------------------------------------------------------------------------------
 
 def enriched(star: Star, price: bool = False) -> DataFrame:
     """The fact with calendar columns and the store's name and town."""
-    return J.enrich_dimensions(X.time_dimensions(star.transactions(price=price)), stores=star.stores())
+    stores = star.written(star.stores(), "stores")
+    return J.enrich_dimensions(X.time_dimensions(star.transactions(price=price)), stores=stores)
 
 
 @query
@@ -103,8 +115,7 @@ def segment_distribution(star: Star) -> DataFrame:
 
 @query
 def all_aggregates(star: Star) -> DataFrame:
-    tx = materialise(J.enrich_dimensions(X.time_dimensions(star.transactions()), products=star.products(),
-                                         stores=star.stores()), "transactions")
+    tx = materialise(J.enrich_dimensions(enriched(star, price=True), products=star.products()), "transactions")
     rows_and_revenue = [df.agg(F.count(F.lit(1)).alias("nb_lignes"), F.sum("ca_total_xaf").alias("ca_total_xaf"))
                         .select(F.lit(name).alias("agregat"), "*") for name, df in A.all_aggregates(tx).items()]
     return rows.union_aligned(*rows_and_revenue)
@@ -166,8 +177,7 @@ def share_of_total(star: Star) -> DataFrame:
 
 @query
 def rfm_ntile(star: Star) -> DataFrame:
-    tx = S.stg_transactions(star.transactions(), AMOUNT_MIN, AMOUNT_MAX)
-    return M.rfm_ntile(M.client_metrics(tx, AS_OF)).select(
+    return M.rfm_ntile(M.client_metrics(staged(star), AS_OF)).select(
         "client_id", "recence_jours", "nb_achats_total", "ca_total_xaf", "score_recence", "score_frequence",
         "score_montant", "score_rfm_moyen", "segment_rfm")
 
@@ -232,9 +242,9 @@ def row_filters(star: Star) -> DataFrame:
 
 @query
 def enrich_dimensions(star: Star) -> DataFrame:
-    clients = C.enrich_clients(star.clients(), AS_OF)
-    tx = J.enrich_dimensions(star.transactions(price=False), clients, star.products(),
-                             rows.status_is(star.stores(), "statut", K.ACTIVE))
+    clients = star.written(C.enrich_clients(star.clients(), AS_OF), "clients")
+    active = star.written(rows.status_is(star.stores(), "statut", K.ACTIVE), "stores")
+    tx = J.enrich_dimensions(star.transactions(price=False), clients, star.products(), active)
     return tx.select("transaction_id", "client_id", "produit_id", "magasin_id", "montant_total_xaf",
                      "ville_client", "categorie_client", "sexe", "region", "nom_produit", "categorie_produit",
                      "sous_categorie", "nom_magasin", "ville_magasin")
@@ -242,9 +252,7 @@ def enrich_dimensions(star: Star) -> DataFrame:
 
 @query
 def sales_star_join(star: Star) -> DataFrame:
-    joined = J.sales_star_join(S.stg_transactions(star.transactions(), AMOUNT_MIN, AMOUNT_MAX),
-                               S.stg_clients(star.clients()), S.stg_products(star.products()),
-                               S.stg_stores(star.stores(), AS_OF))
+    joined = J.sales_star_join(staged(star), *staged_dimensions(star))
     return joined.select("transaction_id", "client_id", "produit_id", "magasin_id", "departement",
                          "est_client_premium", "segment_prix", "zone_commerciale", "taille_magasin")
 
@@ -296,8 +304,9 @@ def reject_routing(star: Star) -> DataFrame:
 
 @query
 def clean_transactions(star: Star) -> DataFrame:
-    valid, _ = X.clean_transactions(star.faulty_transactions(), TX_ORDER, C.enrich_clients(star.clients(), AS_OF),
-                                    star.products(), star.stores(), AMOUNT_MIN, AMOUNT_MAX)
+    clients = star.written(C.enrich_clients(star.clients(), AS_OF), "clients")
+    valid, _ = X.clean_transactions(star.faulty_transactions(), TX_ORDER, clients, star.products(),
+                                    star.written(star.stores(), "stores"), AMOUNT_MIN, AMOUNT_MAX)
     return valid.select("transaction_id", *TX_ORDER, "montant_coherent", "est_outlier", "mois_annee", "semaine",
                         "est_weekend", "nom_mois", "region", "categorie_produit", "ville_magasin")
 
@@ -394,14 +403,9 @@ def stg_stores(star: Star) -> DataFrame:
     return S.stg_stores(star.stores(), AS_OF)
 
 
-def staged(star: Star) -> DataFrame:
-    return S.stg_transactions(star.transactions(), AMOUNT_MIN, AMOUNT_MAX)
-
-
 @query
 def sales_mart(star: Star) -> DataFrame:
-    mart = M.sales_mart(staged(star), S.stg_clients(star.clients()), S.stg_products(star.products()),
-                        S.stg_stores(star.stores(), AS_OF), unique_rows=True)
+    mart = M.sales_mart(staged(star), *staged_dimensions(star), unique_rows=True)
     return mart.withColumn("panier_moyen_xaf", numbers.round_half_up(F.col("panier_moyen_xaf"), 4))
 
 
@@ -435,7 +439,7 @@ def product_mart(star: Star) -> DataFrame:
 @query
 def quality_report(star: Star) -> DataFrame:
     tx = star.faulty_transactions()
-    twice = tx.unionByName(tx.where(F.col("quantite") == 7))
+    twice = materialise(tx.unionByName(tx.where(F.col("quantite") == 7)), "transactions")
     return Q.quality_report(twice, "transactions", rules.transaction_rules(AMOUNT_MIN, AMOUNT_MAX))[0]
 
 

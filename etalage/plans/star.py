@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from etalage import contracts as K
 from etalage.functions.text import lookup
-from etalage.storage import spread
+from etalage.storage import materialise, spread
 
 AS_OF = "2001-12-31"
 AMOUNT_MIN, AMOUNT_MAX = 5_000, 100_000
@@ -20,6 +20,20 @@ STATUSES = {"F": "Validé", "O": "En attente", "P": "Annulé"}
 CATEGORIES = {"BUILDING": "VIP", "AUTOMOBILE": "Premium"}
 CITIES = ["Brazzaville", "Pointe-Noire", "Dolisie", "Ouesso", "Nkayi", "Impfondo", "Sibiti"]
 
+# Columns of the star schema's tables.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 TX_ORDER = ["date_transaction", "produit_id", "magasin_id", "montant_total_xaf", "quantite"]
 
 
@@ -30,7 +44,8 @@ class Star:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def transactions(self, price: bool = True, order: bool = True) -> DataFrame:
         """The fact; ``price`` joins the catalogue, ``order`` joins client, payment and status."""
@@ -150,6 +165,10 @@ class Star:
             F.when(key % 10 == 0, "Fermé").otherwise(K.ACTIVE).alias("statut"),
         )
 
+    def written(self, df: DataFrame, tag: str) -> DataFrame:
+        """A dimension as a table of its own: Spark then knows its size and can choose how to join it."""
+        return materialise(df, tag)
+
     def sources(self) -> dict[str, DataFrame]:
         return {"clients": self.clients(), "transactions": self.transactions(),
                 "produits": self.products(), "magasins": self.stores()}
