@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from etalage import contracts as K
 from etalage.operators.aggregates import all_aggregates, executive_dashboard, month_over_month
@@ -14,6 +14,7 @@ from etalage.operators.clients import clean_clients
 from etalage.operators.marts import client_mart, product_mart, sales_mart
 from etalage.operators.quality import amount_anomalies, completeness_check, daily_volume_check, duplicate_check, \
     quality_summary, referential_check
+from etalage.operators.rows import sort_output
 from etalage.operators.staging import stg_clients, stg_products, stg_stores, stg_transactions
 from etalage.operators.transactions import clean_transactions
 from etalage.sinks.files import write_rejects
@@ -21,6 +22,30 @@ from etalage.sinks.warehouse import MART_TABLES, STAGING_TABLES, load_all
 from etalage.storage import materialise
 
 
+# The order in which each table is put out.
+OUTPUT_ORDER = {
+    "clients": ["client_id asc nulls last"],
+    "transactions": ["date_transaction asc nulls last"],
+    "ca_mensuel": ["annee asc", "mois asc", "ca_total_xaf desc"],
+    "top_produits": ["ca_total_xaf desc"],
+    "performance_magasins": ["ca_total_xaf desc"],
+    "segmentation_rfm": ["score_RFM desc"],
+    "mart_ventes": ["annee asc", "mois asc", "ca_total_xaf desc"],
+    "mart_clients": ["ca_total_xaf desc"],
+    "mart_produits": ["rang_ca asc"],
+    "v_evolution_ca": ["mois_annee asc"],
+}
+
+
+def ordered(name: str, df: DataFrame) -> DataFrame:
+    """A table in its output order, for a reader who wants it sorted; loads do not sort."""
+    return sort_output(df, *[_sort_column(*term.split(maxsplit=1)) for term in OUTPUT_ORDER[name]])
+
+
+def _sort_column(column: str, direction: str) -> Column:
+    return {"asc": F.asc, "desc": F.desc, "asc nulls last": F.asc_nulls_last}[direction](column)
+
+
 @dataclass(frozen=True)
 class ArrivalOrder:
     """Columns that give each source its row order, for "the last row wins"."""

@@ -432,6 +432,13 @@ def product_mart(star: Star) -> DataFrame:
     return M.product_mart(S.stg_products(star.products()), staged(star))
 
 
+@query
+def order_by_coalesce(star: Star) -> DataFrame:
+    """Position of every product when the mart is sorted by its defaulted rank."""
+    mart = M.product_mart(S.stg_products(star.products()), staged(star)).select("produit_id", "rang_ca")
+    return R.global_row_number(mart, [F.asc("rang_ca"), F.asc("produit_id")], "position")
+
+
 # ---------------------------------------------------------------------------------------------
 # quality
 # ---------------------------------------------------------------------------------------------
@@ -734,6 +741,19 @@ def daily_volume_stream(star: Star) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query
+def upsert_partitions(star: Star) -> DataFrame:
+    """Sales up to 2000 by month, then the online sales of every year merged in: their months alone change."""
+    path = scratch_path(star.spark, "faits")
+    key = ["transaction_id", "annee", "mois"]
+    line = X.time_dimensions(star.transactions(price=False, order=False)).select("transaction_id", *TX_ORDER,
+                                                                                 "canal_vente", "annee", "mois")
+    SF.partitioned_fact(rows.keep_last(line.where(F.col("annee") < 2000), key, TX_ORDER), path)
+    updates = rows.keep_last(line.where(F.col("canal_vente") == K.ONLINE), key, TX_ORDER)
+    SF.upsert_partitions(materialise(updates, "updates"), path, key)
+    return star.spark.read.schema(line.schema).parquet(path)
+
+
 def _loaded(star: Star) -> str:
     root = scratch_path(star.spark, "warehouse")
     sources = star.sources() | {"produits": star.products().where("false")}

@@ -564,6 +564,8 @@ SELECT produit_id, n AS nb_transactions, clients AS nb_clients_uniques, magasins
   strftime(derniere, '%Y-%m-%d') AS derniere_vente, mois AS nb_mois_avec_ventes FROM perf"""
 Q["product_mart"] = CTES["mart_p"]
 
+Q["order_by_coalesce"] = """
+SELECT produit_id, rang_ca, row_number() OVER (ORDER BY rang_ca, produit_id) AS position FROM mart_p"""
 
 # quality -------------------------------------------------------------------------------------------
 
@@ -816,6 +818,15 @@ UNION ALL SELECT 'stocks', event_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), event_ty
 Q["upsert_table"] = f"""
 SELECT transaction_id, {DAY}, produit_id, magasin_id, {money('montant_c')} AS montant_total_xaf, quantite FROM {LAST}"""
 Q["upsert_stream"] = Q["upsert_table"]
+LAST_OF_MONTH = """QUALIFY row_number() OVER (PARTITION BY transaction_id, year(date_transaction), month(date_transaction)
+  ORDER BY date_transaction DESC, produit_id DESC, magasin_id DESC, montant_c DESC, quantite DESC) = 1"""
+CTES["online"] = f"SELECT * FROM tx WHERE canal_vente = 'En ligne' {LAST_OF_MONTH}"
+CTES["before_two"] = f"SELECT * FROM tx WHERE year(date_transaction) < 2000 {LAST_OF_MONTH}"
+Q["upsert_partitions"] = f"""
+SELECT transaction_id, {DAY}, produit_id, magasin_id, {money('montant_c')} AS montant_total_xaf, quantite, canal_vente,
+  {big('year(t.date_transaction)')} AS annee, {big('month(t.date_transaction)')} AS mois
+FROM (SELECT * FROM online UNION ALL SELECT * FROM before_two b WHERE NOT EXISTS (SELECT 1 FROM online o
+  WHERE o.transaction_id = b.transaction_id AND date_trunc('month', o.date_transaction) = date_trunc('month', b.date_transaction))) t"""
 Q["daily_volume_stream"] = """
 SELECT strftime(jour, '%Y-%m-%d') AS jour, n AS nb_lignes, 'OK' AS statut
 FROM (SELECT date_trunc('day', ts) AS jour, count(*) AS n FROM events GROUP BY 1)

@@ -74,6 +74,11 @@ def test_dashboard_and_growth(spark, facts):
     assert growth == [("2024-01", None, None), ("2024-03", Decimal("505.00"), Decimal("-60.40"))]
 
 
+def test_tables_are_put_out_in_their_order(facts):
+    got = [(r["mois_annee"], r["magasin_id"]) for r in daily.ordered("ca_mensuel", A.monthly_revenue(facts)).collect()]
+    assert got == [("2024-01", "M2"), ("2024-01", "M1"), ("2024-03", "M1")]
+
+
 @pytest.fixture
 def staged(facts):
     return facts.withColumns({

@@ -170,6 +170,17 @@ def test_partitioned_fact_replaces_only_its_months(spark, folder):
     assert "PartitionFilters: [isnotnull(mois" in back.where("mois = 1")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_partitions_without_updates_are_left_alone(spark, folder):
+    path, schema = f"{folder}/f", "k string, v int, annee int, mois int"
+    SF.partitioned_fact(spark.createDataFrame([("a", 1, 2024, 1), ("b", 1, 2024, 2), ("c", 1, 2024, 2)], schema), path)
+    untouched = set(os.listdir(f"{path}/annee=2024/mois=1"))
+    SF.upsert_partitions(spark.createDataFrame([("b", 2, 2024, 2), ("d", 2, 2024, 3)], schema), path, ["k", "annee", "mois"])
+    assert rows(spark.read.parquet(path), "k", "v", "mois") == [("a", 1, 1), ("b", 2, 2), ("c", 1, 2), ("d", 2, 3)]
+    assert set(os.listdir(f"{path}/annee=2024/mois=1")) == untouched
+    with pytest.raises(ValueError):
+        SF.upsert_partitions(spark.createDataFrame([("b", 2, 2024, 2)], schema), path, ["k"])
+
+
 def test_malformed_rows_are_quarantined(spark, folder, tmp_path):
     path = put(tmp_path / "a.csv", "id,n\na,1\nb\nc,3,4\n")
     SF.bronze_ingest(spark, path, f"{folder}/bronze", dt.datetime(2024, 5, 6, 7))
