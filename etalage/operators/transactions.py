@@ -11,7 +11,7 @@ from etalage.functions import dates
 from etalage.functions.text import is_blank
 from etalage.operators.joins import enrich_dimensions
 from etalage.operators.quantiles import iqr_outliers
-from etalage.operators.rows import keep_last, union_aligned
+from etalage.operators.rows import keep_last
 from etalage.storage import materialise
 
 
@@ -57,15 +57,21 @@ def reject_reason(lo: float = K.AMOUNT_MIN, hi: float = K.AMOUNT_MAX) -> Column:
 
 def reject_routing(df: DataFrame, order_by: Sequence[str], lo: float = K.AMOUNT_MIN,
                    hi: float = K.AMOUNT_MAX) -> DataFrame:
-    """Add ``motif_rejet`` to every row that survives de-duplication.
+    """Add ``motif_rejet`` to every row that survives de-duplication; the source is scanned once.
 
-    Rows without id are rejected as they are: they are neither compared with each other nor grouped,
-    so a source that leaves a third of the ids empty creates no hot group.
+    Rows without id are rejected as they are: each is a group of its own, so none is lost and a source
+    that leaves a third of the ids empty creates no hot group.  Their amounts are not checked.
     """
     no_id = is_blank(F.col("transaction_id"))
-    named = amount_coherence(keep_last(df.where(~no_id), ["transaction_id"], order_by))
-    unnamed = df.where(no_id).withColumn("montant_total_xaf", F.col("montant_total_xaf").cast(K.MONEY_SUM))
-    return union_aligned(named, unnamed).withColumn("motif_rejet", reject_reason(lo, hi))
+    # only has to differ between rows, so a repeated task may number them anew
+    grouped = df.withColumn("__own", F.when(no_id, F.monotonically_increasing_id()))
+    kept = keep_last(grouped, ["transaction_id", "__own"], order_by).drop("__own")
+    declared = F.col("montant_total_xaf").cast(K.MONEY_SUM)
+    checked = amount_coherence(kept.withColumn("__declare", declared))
+    unchecked = {c: F.when(~no_id, F.col(c)) for c in ("montant_calcule_xaf", "ecart_montant_xaf", "montant_coherent")}
+    checked = checked.withColumns({
+        **unchecked, "montant_total_xaf": F.when(no_id, F.col("__declare")).otherwise(F.col("montant_total_xaf"))})
+    return checked.drop("__declare").withColumn("motif_rejet", reject_reason(lo, hi))
 
 
 def split_rejects(routed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 _DIR_KEY = "spark.checkpoint.dir"
 
 # A written table of at most this many rows may be ranked in one task.
-SMALL_ROWS = 200_000
+SMALL_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
