@@ -44,9 +44,13 @@ def upsert_stream(spark: SparkSession, folder: str, schema: T.StructType, root:
 
 
 def daily_volume_stream(rows: DataFrame, ts: str, late: str = "1 day", minimum: int = K.DAILY_ROWS_MIN) -> DataFrame:
-    """Rows per day of a stream; a day is put out once no row up to ``late`` behind can still arrive."""
-    per_day = (rows.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", late)
+    """Rows per calendar day of a stream, whatever the session's time zone; a day is put out once no row
+    up to ``late`` behind can still arrive."""
+    # windows start at midnight UTC, so the rows' own clock is put there
+    clock = F.from_utc_timestamp(F.col(ts).cast("timestamp_ntz").cast("timestamp"), F.current_timezone())
+    per_day = (rows.withColumn("__ts", clock).withWatermark("__ts", late)
                    .groupBy(F.window("__ts", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("nb_lignes")))
-    return per_day.select(F.to_date("w.start").alias("jour"), "nb_lignes",
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
+    return per_day.select(day.alias("jour"), "nb_lignes",
                           F.when(F.col("nb_lignes") >= minimum, K.STATUS_OK).otherwise(K.STATUS_ALERT)
                            .alias("statut"))
