@@ -7,7 +7,6 @@ lost executors, and lets later reads prune columns and skip row groups.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +18,9 @@ SMALL_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a fresh local one only for a local session without it."""
+    """The cluster's shared scratch folder, or a folder in the warehouse where the cluster names none."""
     configured = spark.conf.get(_DIR_KEY, None) or spark.sparkContext.getConf().get(_DIR_KEY)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{_DIR_KEY} must name a folder that all executors share")
-    spark.conf.set(_DIR_KEY, tempfile.mkdtemp(prefix="etalage-"))
-    return spark.conf.get(_DIR_KEY)
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -10,7 +9,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.driver.memory", "8g")
@@ -18,7 +17,7 @@ def spark():
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="etalage-tests-"))
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .getOrCreate())
     session.sparkContext.setLogLevel("OFF")
     yield session
