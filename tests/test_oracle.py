@@ -8,8 +8,8 @@ import __spark_entry__ as entry_points
 from comparison import connect, differences
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = entry_points.catalogue.queries()
+ORACLE = entry_points.oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,5 +26,9 @@ def test_query(spark, duck, name):
     assert differences(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) == []
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).limit(1).count() == 1
