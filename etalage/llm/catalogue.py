@@ -6,14 +6,24 @@ from etalage.llm.contamination import contamination_query
 from etalage.llm.line_dedup import line_dedup_query
 from etalage.llm.packing import packing_query
 from etalage.llm.quality import quality_query
+from etalage.llm.sharding import sharding_query
 from etalage.llm.simhash import simhash_query
+from etalage.llm.suffix_dedup import suffix_query
+from etalage.llm.token_counts import token_query
+from etalage.llm.url_filters import url_query
+from etalage.llm.warc import warc_query
 
 
 def queries() -> dict:
     return {
+        "op1_token_counts": token_query,
+        "op2_url_filters": url_query,
         "op3_decontamination": contamination_query,
         "op4_line_dedup": line_dedup_query,
+        "op5_sharding": sharding_query,
         "op6_packing": packing_query,
+        "op7_warc": warc_query,
+        "op8_suffix_dedup": suffix_query,
         "op9_quality_rules": quality_query,
         "op10_simhash": simhash_query,
     }

@@ -137,3 +137,74 @@ def check_packing(docs, rows, tokenizer, capacity=4096) -> float:
             at += length
         assert at <= capacity
     return 1 - sum(len(x) // 4 for t in ids.values() for x in t) / (capacity * len(sequences))
+
+
+def suffixes(docs, length=400):
+    starts = Counter()
+    data = [(t or "").encode() for _, t in docs]
+    for b in data:
+        starts.update(b[i:i + length] for i in range(len(b) - length + 1))
+    out = []
+    for (doc, _), b in zip(docs, data):
+        gone = np.zeros(len(b) + 1, np.int64)
+        for i in range(len(b) - length + 1):
+            if starts[b[i:i + length]] > 1:
+                gone[i] += 1
+                gone[i + length] -= 1
+        hit = np.cumsum(gone)[:len(b)] > 0
+        runs = int((np.diff(np.concatenate([[0], hit.astype(int)])) == 1).sum())
+        out.append((doc, len(b), int(hit.sum()), runs, sha(bytes(np.frombuffer(b, np.uint8)[~hit]))))
+    return out
+
+
+def tokens(docs, tokenizer, over=1024):
+    return [(doc, len((t or "").encode()), n := len(tokenizer.encode(t or "", add_special_tokens=False).ids), n > over)
+            for doc, t in docs]
+
+
+def check_shards(docs, rows, shards=16):
+    """Asserts the contract for (doc_id, size, crc, law, shard, slot, grown); the largest distance from the mean."""
+    want = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in docs)
+    assert Counter(r[:3] for r in rows) == want
+    slots, sizes = defaultdict(list), Counter()
+    for _, size, _, law, shard, slot, grown in rows:
+        assert law == "bytes" and grown is None and 0 <= shard < shards
+        slots[shard].append(slot)
+        sizes[shard] += size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(sizes.values()) / shards
+    return max(abs(sizes[s] - mean) for s in range(shards))
+
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def url_rules(pages):
+    """(page_id, host, path, rule, verdict or None where no rule fits)."""
+    out = []
+    for page, url in pages:
+        host = path = ""
+        if url is not None and "://" in url:
+            rest = url.split("://", 1)[1]
+            host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", rest).groups()
+            host = lower(host)
+        fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=None)
+        out.append((page, host, path, best and best[1], best and best[2]))
+    return out
+
+
+def archive(pages, min_bytes=0):
+    import base64
+    first = {}
+    for page, html in pages:
+        b = (html or "").encode()
+        first[b] = min(page, first.get(b, page))
+    out = []
+    for page, html in pages:
+        b = (html or "").encode()
+        own = len(b) < min_bytes or first[b] == page
+        out.append((page, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if own else "revisit",
+                    None if own else first[b]))
+    return out
