@@ -226,10 +226,11 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x ^ y)
+    """Differing bits; unsigned, as numpy counts the bits of a negative number's absolute value."""
+    return np.bitwise_count((x ^ y).view(np.uint64))
 
 
-def _small_buckets(bucket, fps, kind, block, tau):
+def _small_buckets(bucket, fps, kind, tau):
     """Links within buckets of few members, by comparing all members with the k-th after them."""
     found = []
     size = int(np.bincount(bucket).max())
@@ -239,7 +240,7 @@ def _small_buckets(bucket, fps, kind, block, tau):
             break
         i = np.flatnonzero(same)
         probed = ((kind[i] & PROBE) & ((kind[i + k] & INDEXED) << 1)) | ((kind[i + k] & PROBE) & ((kind[i] & INDEXED) << 1))
-        i = i[(probed > 0) & (_apart(fps[i], fps[i + k]) <= tau) & ((block[i] != block[i + k]) | (block[i] < 0))]
+        i = i[(probed > 0) & (_apart(fps[i], fps[i + k]) <= tau)]
         found.append((fps[i], fps[i + k]))
     return found
 
@@ -282,7 +283,7 @@ def _verify(tau: int, small: int = 32):
         bucket = np.repeat(np.arange(len(starts)), sizes)
         few = (sizes > 1) & (sizes <= small)
         pick = few[bucket]
-        found = _small_buckets(bucket[pick], fps[pick], kind[pick], block[pick], tau) if few.any() else []
+        found = _small_buckets(bucket[pick], fps[pick], kind[pick], tau) if few.any() else []
         for k in np.flatnonzero(sizes > small):
             rows = slice(starts[k], starts[k] + sizes[k])
             found += _large_bucket(fps[rows], block[rows], tau)

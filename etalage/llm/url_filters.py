@@ -35,19 +35,16 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """What stands after the first ``://``, cut at the first / ? or #; both empty for null or without ``://``."""
-    at = F.instr(url, "://")
-    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
-    rest = F.coalesce(rest, F.lit(""))
-    host = F.regexp_extract(rest, r"\A([^/?#]*)", 1)
-    path = F.regexp_extract(rest, r"\A[^/?#]*([^?#]*)", 1)
+    host = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://([^/?#]*)", 1)
+    path = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
     return F.translate(host, _UPPER, _LOWER), path
 
 
 def node_of(url: Column) -> Column:
     """The address without scheme and fragment; null where there is no host."""
     host, _ = host_and_path(url)
-    rest = F.regexp_extract(F.substring(url, F.instr(url, "://") + 3, F.length(url)), r"\A[^/?#]*([^#]*)", 1)
-    return F.when(host != "", F.concat(host, rest))
+    node = F.concat(host, F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^#]*)", 1))
+    return F.when(F.length(node) > 0, node)
 
 
 def rule_for(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -62,24 +59,23 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Col
     return F.coalesce(*fitting, none)
 
 
-def _absolute(target: Column, url: Column) -> Column:
-    """A link target as an address; relative ones are resolved against ``url``."""
-    host, path = host_and_path(url)
-    base = F.concat(F.lit("http://"), host)
-    folder = F.regexp_extract(path, r"\A(.*/)", 1)
-    return (F.when(target.contains("://"), target)
-            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-            .when(target.startswith("/"), F.concat(base, target))
-            .when(target.startswith("#"), url)
-            .otherwise(F.concat(base, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
-
-
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(source, target): the addresses that pages name as canonical or send their readers to."""
+    """(source, target): the addresses that pages name as canonical or send their readers to.
+
+    Relative targets are resolved against the page's address; those within the page are no links.
+    """
     u, h = F.col(f"`{url}`"), F.col(f"`{html}`")
     targets = F.concat(F.regexp_extract_all(h, F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all(h, F.lit(_REFRESH), F.lit(1)))
-    return (pages.where(u.isNotNull() & h.isNotNull()).select(u.alias("u"), F.explode(targets).alias("t"))
-            .select(node_of(F.col("u")).alias("source"), node_of(_absolute(F.col("t"), F.col("u"))).alias("target"))
+    found = (pages.where(u.isNotNull() & h.isNotNull()).select(u.alias("u"), targets.alias("ts"))
+             .where(F.size("ts") > 0).select("u", F.explode("ts").alias("t")).where(~F.col("t").startswith("#")))
+    host, path = host_and_path(F.col("u"))
+    found = found.withColumns({"host": host, "folder": F.regexp_extract(path, r"(?s)\A(.*/)", 1), "source": node_of(F.col("u"))})
+    t, base = F.col("t"), F.concat(F.lit("http://"), F.col("host"))
+    absolute = (F.when(t.contains("://"), t).when(t.startswith("//"), F.concat(F.lit("http:"), t))
+                .when(t.startswith("/"), F.concat(base, t))
+                .otherwise(F.concat(base, F.when(F.col("folder") == "", F.lit("/")).otherwise(F.col("folder")), t)))
+    found = found.withColumn("t", absolute)
+    return (found.withColumn("target", node_of(F.col("t"))).select("source", "target")
             .where("source is not null and target is not null"))
 
 
