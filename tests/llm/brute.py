@@ -208,3 +208,49 @@ def archive(pages, min_bytes=0):
         out.append((page, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if own else "revisit",
                     None if own else first[b]))
     return out
+
+
+def quality_kept(docs, min_docs=200, spread=6):
+    """docs: (id, text, lang, source) -> list of booleans, thresholds as the operator defines them."""
+    rows = rules([(d, t) for d, t, _, _ in docs])
+    lines = [sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (t or "").split("\n")) for _, t, _, _ in docs]
+    metrics = [(2, 1, 2000, True), (3, 1, 100, False), (4, None, 500, False), (5, 1, 450, False)]
+
+    def value(k, m):
+        bottom = lines[k] if m[1] is None else rows[k][m[1]]
+        return 1000 * rows[k][m[0]] // bottom if bottom else 0
+
+    def limits(members, m):
+        buckets = Counter()
+        for k in members:
+            v = value(k, m)
+            drop = max(0, len(bin(v)[2:]) - 10)
+            buckets[v >> drop << drop] += 1
+        at, upto = {}, 0
+        for b in sorted(buckets):
+            upto += buckets[b]
+            for q in (5, 50, 95):
+                if q not in at and 100 * upto >= q * len(members):
+                    at[q] = b
+        width = max(m[2], spread * min(at[50] - at[5], at[95] - at[50]))
+        return at[50] - width if m[3] else -1, at[50] + width
+
+    good = [k for k in range(len(docs)) if not rows[k][6]]
+    members = defaultdict(list)
+    for k in good:
+        for key in ((docs[k][2], docs[k][3]), (docs[k][2],), ()):
+            members[key].append(k)
+    out = []
+    for k in range(len(docs)):
+        own = next((members[key] for key in ((docs[k][2], docs[k][3]), (docs[k][2],)) if len(members[key]) >= min_docs), members[()])
+        out.append(k in set(good) and all(lo <= value(k, m) <= hi for m in metrics for lo, hi in [limits(own, m)]))
+    return out
+
+
+def drop_lines(docs, min_docs=10):
+    key = lambda line: lower(re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line))
+    where = defaultdict(set)
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            where[key(line)].add(doc)
+    return [(doc, "\n".join(x for x in text.split("\n") if not key(x) or len(where[key(x)]) < min_docs)) for doc, text in docs]
