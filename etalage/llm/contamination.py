@@ -8,7 +8,6 @@ each; a document passes all of them in one scan.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,7 +27,7 @@ def docs(spark):
         df = spark.createDataFrame([(i, t, lang, source, None) for i, t in rows], DOCS)
         for name in ("drop", "features", "quality", "simhash", "matches", "tokens", "shard", "before", "row", "keep_id",
                      "repeat_spans", "n_words"):
-            df = df.withColumn(name, __import__("pyspark").sql.functions.lit("x"))
+            df = df.withColumn(name, F.lit("x"))
         return df
 
     return make
