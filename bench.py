@@ -41,20 +41,29 @@ def seconds(run, spark: SparkSession, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def shuffled(spark: SparkSession) -> int:
+    """Shuffle bytes that the session has written so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     rows = spark.read.parquet(f"{folder}/lineitem.parquet").count()
     chosen = sys.argv[1:] or HEADLINE
-    timings = {}
+    timings, shuffle_mb = {}, {}
     for name in chosen:
         run = queries()[name]
+        before = shuffled(spark)
         seconds(run, spark, folder)
+        time.sleep(0.5)  # the status store follows a little later
+        shuffle_mb[name] = round((shuffled(spark) - before) / 1e6, 1)
         timings[name] = round(statistics.median(seconds(run, spark, folder) for _ in range(3)), 3)
         release(spark)
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "headline queries, sum of medians", "value": total, "unit": "sec", "queries": timings,
-                      "rows_per_sec": {name: round(rows / t) for name, t in timings.items()},
+                      "shuffle_mb": shuffle_mb, "rows_per_sec": {name: round(rows / t) for name, t in timings.items()},
                       "fact_rows": rows, "sf": os.path.basename(folder.rstrip("/"))}))
 
 

@@ -29,7 +29,7 @@ CLIENTS = {
 
 TRANSACTIONS = {
     "transaction_id": "text",
-    "date_transaction": "date",
+    "date_transaction": "time",
     "client_id": "text",
     "magasin_id": "text",
     "produit_id": "text",
@@ -116,6 +116,8 @@ JOURNAL = T.StructType([
     T.StructField("statut", T.StringType()),
     T.StructField("erreur", T.StringType()),
     T.StructField("emplacement", T.StringType()),
+    T.StructField("morceaux", T.ArrayType(T.StringType())),
+    T.StructField("remplace", T.ArrayType(T.StringType())),
     T.StructField("debut_chargement", T.TimestampNTZType()),
     T.StructField("fin_chargement", T.TimestampNTZType()),
     T.StructField("duree_secondes", T.DecimalType(10, 2)),
@@ -235,8 +237,13 @@ ONLINE = "En ligne"
 
 STATUS_OK = "OK"
 STATUS_ALERT = "ALERTE"
+STATUS_NOT_RUN = "NON EXÉCUTÉ"
 
-# Texts that a CSV cell may hold for "no value" (the defaults of the usual CSV readers).
+# The origin that extracts are marked with.
+SOURCE_FX = "API_BEAC_SIMULEE"
+SOURCE_ERP = "ERP_INTERNE"
+
+# Texts that a CSV cell may hold for "no value" (the defaults of the usual CSV readers).
 MISSING_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",

@@ -19,6 +19,11 @@ def to_day(c: Column) -> Column:
     return c.try_cast("date")
 
 
+def to_time(c: Column) -> Column:
+    """Text to date and time, null when invalid."""
+    return c.try_cast("timestamp_ntz")
+
+
 def _completed_years(start: Column, end: Column) -> Column:
     before_anniversary = (F.month(end) * 100 + F.dayofmonth(end)
                           < F.month(start) * 100 + F.dayofmonth(start))

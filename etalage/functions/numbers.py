@@ -28,9 +28,17 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def percent_of(part: Column, whole: Column) -> Column:
-    """``part`` in percent of ``whole`` on decimals, rounded half up to two digits; null when whole is 0."""
-    share = F.try_divide(part.cast(K.MONEY_SUM), whole.cast(K.MONEY_SUM))
-    return round_half_up(share * F.lit(100), 2).cast("decimal(12,2)")
+    """``part`` in percent of ``whole``, rounded half up to two digits; null when whole is 0.
+
+    Amounts of up to 26 digits before the point fit, and so does any percentage of them.  The quotient is
+    taken of whole numbers, because a decimal one would be rounded before it is rounded to two digits.
+    """
+    cents = [F.abs(c.cast("decimal(28,2)") * F.lit(100).cast("decimal(3,0)")).cast("decimal(30,0)") for c in (part, whole)]
+    top = (cents[0] * F.lit(20_000).cast("decimal(5,0)") + cents[1]).cast("decimal(37,0)")
+    bottom = F.when(cents[1] != 0, cents[1] * F.lit(2).cast("decimal(1,0)")).cast("decimal(31,0)")
+    steps = ((top - top % bottom) / bottom).cast("decimal(34,0)")
+    percent = (steps / F.lit(100).cast("decimal(3,0)")).cast("decimal(36,2)")
+    return F.when((part < 0) != (whole < 0), -percent).otherwise(percent)
 
 
 def exact_mean(col: str) -> Column:
@@ -51,8 +59,8 @@ def to_double(c: Column) -> Column:
 
 
 def to_int_or_zero(c: Column) -> Column:
-    """Text to integer: truncated, 0 when missing or invalid."""
-    return F.coalesce(to_double(c).try_cast("int"), F.lit(0))
+    """Text to a 64-bit integer: truncated, 0 when missing or invalid."""
+    return F.coalesce(to_double(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def to_money(c: Column) -> Column:

@@ -12,7 +12,7 @@ from etalage import contracts as K
 from etalage.functions.numbers import exact_mean, percent_of, ratio, round_half_even
 from etalage.operators.quantiles import quantile_score, quantiles
 from etalage.operators.ranking import global_rank
-from etalage.operators.rows import top_k
+from etalage.operators.rows import top_k, with_distinct_counts
 from etalage.storage import materialise
 
 # The quintile edges, as products of the step, which is how evenly spaced fractions are computed.
@@ -57,27 +57,35 @@ def monthly_revenue(tx: DataFrame) -> DataFrame:
     )
 
 
-def product_sales(tx: DataFrame) -> DataFrame:
-    """Sales per product."""
-    keys = _present(tx, "produit_id", "nom_produit", "categorie_produit")
-    stores = F.countDistinct("magasin_id") if "magasin_id" in tx.columns else F.count("transaction_id")
-    return tx.na.drop(subset=keys).groupBy(*keys).agg(
+def product_sales(tx: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Sales per product, with name and category where the catalogue is given.
+
+    Rows are grouped by the product alone; the catalogue is joined to the result.  Products that it lacks, or has
+    no name or category for, are left out then.  Pass a written fact: it is read three times.
+    """
+    keys = ["produit_id"] if products is not None else _present(tx, "produit_id", "nom_produit", "categorie_produit")
+    known = tx.na.drop(subset=keys)
+    out = known.groupBy(*keys).agg(
         F.count("transaction_id").alias("nb_ventes"),
         F.sum("quantite").alias("quantite_totale"),
         _revenue().alias("ca_total_xaf"),
-        stores.alias("nb_magasins"),
-        F.countDistinct("client_id").alias("nb_clients"),
         ratio(_revenue("prix_unitaire_xaf"), F.count("prix_unitaire_xaf")).alias("prix_moyen_xaf"),
     )
+    counts = {"nb_magasins": "magasin_id", "nb_clients": "client_id"}
+    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns})
+    if products is None:
+        return out
+    labels = products.select("produit_id", "nom_produit", F.col("categorie").alias("categorie_produit")).na.drop()
+    return labels.join(out, "produit_id")
 
 
-def top_products(tx: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
+def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None = None) -> DataFrame:
     """Best sellers with rank and share among all products.
 
     The rank of a row depends on the rows above it only, so it is taken over the ``top_n`` rows; the
     share divides by the total over all products.
     """
-    sales = materialise(product_sales(tx), "sales")
+    sales = materialise(product_sales(tx, products), "sales")
     total = sales.agg(F.sum("ca_total_xaf").alias("total")).scalar()
     best = top_k(sales, top_n, F.desc("ca_total_xaf"), F.asc("produit_id"))
     by_revenue = Window.orderBy(F.desc("ca_total_xaf"))  # over top_n rows
@@ -87,17 +95,20 @@ def top_products(tx: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
 
 
 def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS) -> DataFrame:
-    """Sales per store with its revenue rank; the monthly mean divides by a fixed number of months."""
+    """Sales per store with its revenue rank; the monthly mean divides by a fixed number of months.
+
+    Pass a written fact: it is read three times.
+    """
     keys = _present(tx, "magasin_id", "nom_magasin", "ville_magasin")
-    products = F.countDistinct("produit_id") if "produit_id" in tx.columns else F.count("transaction_id")
-    out = tx.na.drop(subset=keys).groupBy(*keys).agg(
+    known = tx.na.drop(subset=keys)
+    out = known.groupBy(*keys).agg(
         F.count("transaction_id").alias("nb_transactions"),
-        F.countDistinct("client_id").alias("nb_clients_uniques"),
         _revenue().alias("ca_total_xaf"),
         ratio(_revenue(), F.count("montant_total_xaf")).alias("ca_moyen_xaf"),
         F.sum("quantite").alias("quantite_totale"),
-        products.alias("nb_produits_vendus"),
     )
+    counts = {"nb_clients_uniques": "client_id", "nb_produits_vendus": "produit_id"}
+    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns})
     out = out.withColumns({
         "panier_moyen_xaf": round_half_even(F.col("ca_moyen_xaf")),
         "ca_mensuel_moyen_xaf": round_half_even(ratio(F.col("ca_total_xaf"), F.lit(months))),
@@ -162,11 +173,11 @@ def segment_distribution(rfm: DataFrame, segment: str = "segment_rfm") -> DataFr
     return counts.withColumn("part_pct", round_half_even(ratio(F.col("nb_clients"), total) * F.lit(100.0), 1))
 
 
-def all_aggregates(tx: DataFrame) -> dict[str, DataFrame]:
+def all_aggregates(tx: DataFrame, products: DataFrame | None = None) -> dict[str, DataFrame]:
     """The four aggregate tables.  Pass a written table: each of them reads only the columns it needs."""
     return {
         "ca_mensuel": monthly_revenue(tx),
-        "top_produits": top_products(tx),
+        "top_produits": top_products(tx, products=products),
         "performance_magasins": store_performance(tx),
         "segmentation_rfm": rfm_quantile(tx),
     }

@@ -125,7 +125,7 @@ def _relationship_test(df: DataFrame, parent: DataFrame, test: ColumnTest) -> Da
 
 
 def run_column_tests(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest] = tuple(MODEL_TESTS)) -> DataFrame:
-    """One row per test: table, column, test, failures, status.  Tests of absent tables are skipped.
+    """One row per test: table, column, test, failures, status.  Tests of absent tables are listed as not run.
 
     Pass written tables: each of them is read a few times.
     """
@@ -136,6 +136,13 @@ def run_column_tests(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest
         if row_wise:
             parts.append(_row_tests(df, row_wise))
         parts += [_unique_test(df, t) for t in own if t.kind == "unique"]
-        parts += [_relationship_test(df, tables[t.to], t) for t in own if t.kind == "relationships"]
+        parts += [_relationship_test(df, tables[t.to], t) for t in own if t.kind == "relationships" and t.to in tables]
+    if not parts:
+        raise ValueError("none of the tests' tables is given")
+    absent = [t for t in tests if t.table not in tables or (t.kind == "relationships" and t.to not in tables)]
+    if absent:
+        schema = "table string, column string, test string, failures bigint"
+        parts.append(parts[0].sparkSession.createDataFrame([(t.table, t.label, t.kind, None) for t in absent], schema))
     results = union_aligned(*parts)
-    return results.withColumn("status", F.when(F.col("failures") == 0, K.STATUS_OK).otherwise(K.STATUS_ALERT))
+    return results.withColumn("status", F.when(F.col("failures").isNull(), K.STATUS_NOT_RUN)
+                              .when(F.col("failures") == 0, K.STATUS_OK).otherwise(K.STATUS_ALERT))

@@ -13,8 +13,7 @@ from etalage.functions.numbers import ratio, round_half_even, safe_rate
 from etalage.functions.rules import Rule, errors, validate_rows
 from etalage.operators.quantiles import quantiles
 from etalage.operators.rows import duplicate_count, duplicate_rows, key_set_difference, union_aligned
-
-ERRORS_PER_ROW = 3
+from etalage.storage import materialise
 
 
 def _long(one_row: DataFrame, check: str, metrics: Sequence[tuple[str, Column, float | None, Column]]) -> DataFrame:
@@ -38,22 +37,22 @@ def _completeness(i: int) -> Column:
     return F.coalesce(filled, F.lit(0.0))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Rows, nulls and completeness per column."""
     rows = F.array(*[F.struct(F.lit(c).alias("colonne"),
                               (F.col("total") - F.col(f"n{i}")).alias("valeurs_nulles"),
                               _completeness(i).alias("taux_completude")) for i, c in enumerate(df.columns)])
-    return _profile_counts(df).select(F.col("total").alias("nb_lignes_total"), F.inline(rows))
+    return (_profile_counts(df) if counts is None else counts).select(F.col("total").alias("nb_lignes_total"), F.inline(rows))
 
 
 def quality_report(df: DataFrame, name: str, rules: Sequence[Rule] = ()) -> tuple[DataFrame, DataFrame]:
     """(summary, per column): size, completeness, identical rows, invalid rows and an overall score."""
-    width = len(df.columns)
+    width, counts = len(df.columns), materialise(_profile_counts(df, rules), "profile")
     rates = F.array(*[_completeness(i) for i in range(width)])
     nulls = F.array(*[F.col("total") - F.col(f"n{i}") for i in range(width)])
     unique_pct = (F.lit(1.0) - ratio(F.col("doublons"), F.greatest("total", F.lit(1)))) * F.lit(100.0)
     mean_rate = F.aggregate(rates, F.lit(0.0), lambda acc, x: acc + x) / F.lit(float(width))
-    summary = _profile_counts(df, rules).withColumn("doublons", duplicate_rows(df).scalar()).select(
+    summary = counts.withColumn("doublons", duplicate_rows(df).scalar()).select(
         F.lit(name).alias("dataset"),
         F.col("total").alias("nb_lignes_total"),
         F.lit(width).alias("nb_colonnes"),
@@ -62,12 +61,13 @@ def quality_report(df: DataFrame, name: str, rules: Sequence[Rule] = ()) -> tupl
         F.col("invalid").alias("lignes_invalides"),
         round_half_even((mean_rate + unique_pct) / F.lit(2.0), 2).alias("score_qualite"),
     )
-    return summary, column_profile(df)
+    return summary, column_profile(df, counts)
 
 
-def error_details(df: DataFrame, rules: Sequence[Rule], per_row: int = ERRORS_PER_ROW) -> DataFrame:
-    """The first messages of every invalid row, one row each; the table stays distributed."""
-    return validate_rows(df, rules).select(F.explode(F.slice("erreurs", 1, per_row)).alias("erreur"))
+def error_details(df: DataFrame, rules: Sequence[Rule], per_row: int | None = None) -> DataFrame:
+    """The messages of every invalid row, one row each, or the first ``per_row`` of each; the table stays distributed."""
+    messages = F.col("erreurs") if per_row is None else F.slice("erreurs", 1, per_row)
+    return validate_rows(df, rules).select(F.explode(messages).alias("erreur"))
 
 
 def completeness_check(df: DataFrame, columns: Sequence[str] = tuple(K.CRITICAL_CLIENT_COLUMNS),
@@ -118,13 +118,12 @@ def amount_anomalies(df: DataFrame, col: str = "montant_total_xaf", k: float = K
 
 def referential_check(tx: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct keys of the fact that each dimension lacks; ``dimensions`` maps key to table."""
-    def key_counts(key: str, dimension: DataFrame) -> DataFrame:
-        used = tx.select(F.col(key).alias("k")).distinct()
-        known = dimension.select(F.col(key).alias("k")).distinct().withColumn("known", F.lit(True))
-        return used.join(known, "k", "left").agg(F.lit(key).alias("key"), F.count(F.lit(1)).alias("n"),
-                                                 F.count_if(F.col("known").isNull()).alias("orphans"))
-
-    counts = union_aligned(*[key_counts(key, dimension) for key, dimension in dimensions.items()])
+    named = F.array(*[F.struct(F.lit(key).alias("key"), F.col(key).cast("string").alias("k")) for key in dimensions])
+    used = tx.select(F.inline(named)).distinct()  # all keys in one pass over the fact
+    known = union_aligned(*[dimension.select(F.lit(key).alias("key"), F.col(key).cast("string").alias("k"))
+                            for key, dimension in dimensions.items()]).distinct().withColumn("known", F.lit(True))
+    counts = used.join(known, ["key", "k"], "left").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("known").isNull()).alias("orphans"))
     one_row = counts.agg(F.sum("orphans").alias("orphans"),
                          *[F.max(F.when(F.col("key") == key, F.col(c))).alias(f"{key}_{c}")
                            for key in dimensions for c in ("n", "orphans")])

@@ -8,25 +8,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from etalage import contracts as K
 from etalage.functions.numbers import edges_passed
-from etalage.storage import is_small, materialise
+from etalage.storage import materialise
 
 _ROW_BITS = 33
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], small_rows: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """One row, one column ``q``: linearly interpolated quantiles as an array of doubles.
 
     The built-in exact percentile merges every distinct value into one buffer.  Here equal values are
-    counted first and written; beyond ``SMALL_ROWS`` distinct values these are range-partitioned, and
-    only the partitions that hold a wanted position are searched.
+    counted first, written and range-partitioned, and only the partitions that hold a wanted position are
+    searched.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     counts = materialise(counts, "counts")
-    if is_small(counts, small_rows):
-        placed = counts.withColumn("part", F.lit(0).cast("long"))
-    else:
-        part = F.shiftright(F.monotonically_increasing_id(), _ROW_BITS)
-        placed = materialise(counts.repartitionByRange("v").withColumn("part", part), "ranges")
+    part = F.shiftright(F.monotonically_increasing_id(), _ROW_BITS)
+    placed = materialise(counts.repartitionByRange("v").withColumn("part", part), "ranges")
 
     # one row per range partition: the windows below are bounded by the number of partitions
     whole = Window.orderBy("part")

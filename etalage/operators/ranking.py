@@ -1,8 +1,8 @@
 """Global ranks and tiles without moving all rows into one task.
 
-A window ordered over the whole table runs in a single task.  Tables beyond ``SMALL_ROWS`` are instead
-range-partitioned on (value, unique key) -- the key splits values that many rows share -- and numbered
-inside each partition; the partitions' row counts then give every partition its offset.
+A window ordered over the whole table runs in a single task.  Tables of any size are instead range-partitioned
+on (value, unique key) -- the key splits values that many rows share -- and numbered inside each partition;
+the partitions' row counts then give every partition its offset.
 """
 
 from __future__ import annotations
@@ -12,23 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from etalage.functions.numbers import edges_passed, percent_of
-from etalage.storage import is_small, materialise
+from etalage.storage import materialise
 
 # monotonically_increasing_id keeps the partition in the upper bits and the row in the lower 33.
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rang", written: bool = False,
-                      small_rows: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rang", written: bool = False) -> DataFrame:
     """Add the position (from 1) of every row under ``order``, which must be total.
 
     The table is written first, unless ``written`` says that it already is: it is read to find the
     range bounds and again to be partitioned by them.
     """
     stored = df if written else materialise(df, "unordered")
-    if is_small(stored, small_rows):
-        return stored.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     placed = (stored.repartitionByRange(*order).sortWithinPartitions(*order)
                     .withColumn("__mid", F.monotonically_increasing_id()))
     placed = materialise(placed, "ordered")
@@ -45,7 +42,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rang"
 
 
 def global_rank(df: DataFrame, value: str, key: str, name: str = "rang", ascending: bool = False,
-                written: bool = False, small_rows: int | None = None) -> DataFrame:
+                written: bool = False) -> DataFrame:
     """Add the minimum rank of ``value``: equal values share the position of the first of them.
 
     ``key`` is unique; it only serves to split equal values over partitions.  The ranks come from one
@@ -54,21 +51,18 @@ def global_rank(df: DataFrame, value: str, key: str, name: str = "rang", ascendi
     """
     direction = F.asc_nulls_last if ascending else F.desc_nulls_last
     stored = df if written else materialise(df, "unranked")
-    if is_small(stored, small_rows):
-        return stored.withColumn(name, F.rank().over(Window.orderBy(direction(value))).cast("long"))
-    rows = global_row_number(stored, [direction(value), F.asc(key)], "__row", True, small_rows)
+    rows = global_row_number(stored, [direction(value), F.asc(key)], "__row", True)
     first = rows.groupBy(F.col(value).alias("__value")).agg(F.min("__row").alias(name))
     return rows.join(first, F.col(value).eqNullSafe(F.col("__value")), "left").drop("__value", "__row")
 
 
-def ntile_edges(df: DataFrame, tiles: int, value: str, key: str, written: bool = False,
-                small_rows: int | None = None) -> DataFrame:
+def ntile_edges(df: DataFrame, tiles: int, value: str, key: str, written: bool = False) -> DataFrame:
     """One row, one column ``edges``: the (value, key) pairs that open tiles 2..n in ascending order.
 
     Tiles differ by at most one row, the larger ones first, as NTILE makes them.
     """
     numbered = global_row_number(df.select(F.col(value).alias("v"), F.col(key).alias("k")),
-                                 [F.asc_nulls_first("v"), F.asc_nulls_first("k")], "__row", written, small_rows)
+                                 [F.asc_nulls_first("v"), F.asc_nulls_first("k")], "__row", written)
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     size, larger = F.floor(total / tiles), total % tiles
     starts = [size * t + F.least(larger, F.lit(t)) + 1 for t in range(1, tiles)]

@@ -58,6 +58,21 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequen
     return keep_first(df, keys, [F.desc_nulls_first(date), *[F.asc_nulls_first(c) for c in tiebreak]])
 
 
+def with_distinct_counts(grouped: DataFrame, df: DataFrame, keys: Sequence[str], counts: dict[str, str]) -> DataFrame:
+    """Add to a grouped table the distinct values per group of some columns: {new name: column of ``df``}.
+
+    Several distinct counts in one aggregation would multiply every row by their number.  Here each column is a
+    narrow aggregation of its own over (keys, column), joined on the keys, null ones included.
+    """
+    for name, column in counts.items():
+        pairs = df.where(F.col(column).isNotNull()).select(*keys, column).distinct()
+        counted = pairs.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+        grouped = (grouped.join(counted, same, "left").withColumn(name, F.coalesce("__n", F.lit(0).cast("bigint")))
+                   .drop("__n", *[f"__{k}" for k in keys]))
+    return grouped
+
+
 def column_slimming(df: DataFrame, wanted: Sequence[str], renames: dict[str, str] | None = None) -> DataFrame:
     """Keep those of the wanted columns that exist, renamed where asked."""
     renames = renames or {}

@@ -69,7 +69,7 @@ def stg_transactions(df: DataFrame, lo: float = K.AMOUNT_MIN, hi: float = K.AMOU
                      ) -> DataFrame:
     """Valid, uncancelled transactions, one row per id: the latest."""
     typed = df.withColumns({"date_transaction": dates.to_day(F.col("date_transaction")),
-                            "quantite": F.col("quantite").cast("int"),
+                            "quantite": F.col("quantite").cast("bigint"),
                             "prix_unitaire_xaf": F.col("prix_unitaire_xaf").cast(K.MONEY),
                             "montant_total_xaf": F.col("montant_total_xaf").cast(K.MONEY)})
     kept = missing_id_filter(typed, "transaction_id").where(F.col("date_transaction").isNotNull())
@@ -91,7 +91,7 @@ def stg_transactions(df: DataFrame, lo: float = K.AMOUNT_MIN, hi: float = K.AMOU
         "quantite",
         "prix_unitaire_xaf",
         "montant_total_xaf",
-        (F.col("quantite").cast("decimal(10,0)") * F.col("prix_unitaire_xaf")).alias("montant_recalcule_xaf"),
+        (F.col("quantite").cast("decimal(19,0)") * F.col("prix_unitaire_xaf")).alias("montant_recalcule_xaf"),
         F.trim("mode_paiement").alias("mode_paiement"),
         F.trim("statut").alias("statut_transaction"),
         channel.alias("canal_vente"),
@@ -107,7 +107,7 @@ def stg_products(df: DataFrame) -> DataFrame:
         **_trimmed("produit_id", "nom_produit"),
         **_titled("categorie", "sous_categorie"),
         "prix_unitaire_xaf": price,
-        "stock_initial": F.col("stock_initial").cast("int"),
+        "stock_initial": F.col("stock_initial").cast("bigint"),
         **_trimmed("fournisseur", "pays_origine"),
         "est_produit_local": F.coalesce(F.trim("pays_origine").isin(*K.LOCAL_COUNTRIES), F.lit(False)),
         "segment_prix": classify(price, PRICE_CLASSES, PRICE_CLASS_LOW),
@@ -117,7 +117,7 @@ def stg_products(df: DataFrame) -> DataFrame:
 
 def stg_stores(df: DataFrame, as_of: str | dt.date) -> DataFrame:
     """Active stores with zone, size class and age in whole years."""
-    surface, opened = F.col("surface_m2").cast("int"), dates.to_day(F.col("date_ouverture"))
+    surface, opened = F.col("surface_m2").cast("bigint"), dates.to_day(F.col("date_ouverture"))
     shaped = {
         **_trimmed("magasin_id", "nom_magasin"),
         **_titled("ville", "quartier"),

@@ -20,7 +20,7 @@ def amount_coherence(df: DataFrame, tolerance: float = K.AMOUNT_TOLERANCE) -> Da
 
     A gap that cannot be computed counts as incoherent; the total then becomes null.
     """
-    expected = (F.col("quantite").cast("decimal(10,0)") * F.col("prix_unitaire_xaf")).try_cast(K.MONEY_SUM)
+    expected = (F.col("quantite").cast("decimal(19,0)") * F.col("prix_unitaire_xaf")).try_cast(K.MONEY_SUM)
     df = df.withColumn("montant_calcule_xaf", expected)
     df = df.withColumn("ecart_montant_xaf",
                        F.abs(F.col("montant_total_xaf").cast(K.MONEY_SUM) - F.col("montant_calcule_xaf")))
@@ -57,15 +57,13 @@ def reject_reason(lo: float = K.AMOUNT_MIN, hi: float = K.AMOUNT_MAX) -> Column:
 
 def reject_routing(df: DataFrame, order_by: Sequence[str], lo: float = K.AMOUNT_MIN,
                    hi: float = K.AMOUNT_MAX) -> DataFrame:
-    """Add ``motif_rejet`` to every row that survives de-duplication; the source is scanned once.
+    """Add ``motif_rejet`` to every row that survives de-duplication.
 
-    Rows without id are rejected as they are: each is a group of its own, so none is lost and a source
+    Rows without id are rejected as they are: they skip the de-duplication, so none is lost and a source
     that leaves a third of the ids empty creates no hot group.  Their amounts are not checked.
     """
-    no_id = is_blank(F.col("transaction_id"))
-    # only has to differ between rows, so a repeated task may number them anew
-    grouped = df.withColumn("__own", F.when(no_id, F.monotonically_increasing_id()))
-    kept = keep_last(grouped, ["transaction_id", "__own"], order_by).drop("__own")
+    no_id = F.coalesce(is_blank(F.col("transaction_id")), F.lit(True))
+    kept = keep_last(df.where(~no_id), ["transaction_id"], order_by).unionByName(df.where(no_id))
     declared = F.col("montant_total_xaf").cast(K.MONEY_SUM)
     checked = amount_coherence(kept.withColumn("__declare", declared))
     unchecked = {c: F.when(~no_id, F.col(c)) for c in ("montant_calcule_xaf", "ecart_montant_xaf", "montant_coherent")}

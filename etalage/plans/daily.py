@@ -18,8 +18,9 @@ from etalage.operators.rows import sort_output
 from etalage.operators.staging import stg_clients, stg_products, stg_stores, stg_transactions
 from etalage.operators.transactions import clean_transactions
 from etalage.sinks.files import write_rejects
-from etalage.sinks.warehouse import MART_TABLES, STAGING_TABLES, load_all
-from etalage.storage import materialise
+from etalage.sinks.warehouse import MART_TABLES, STAGING_TABLES, UPSERT, load_all, load_table, read_table
+from etalage.sources.increments import incremental_extract, next_mark
+from etalage.storage import materialise, scratch
 
 
 # The order in which each table is put out.
@@ -57,7 +58,8 @@ class ArrivalOrder:
 def transform(sources: Mapping[str, DataFrame], as_of: str | dt.date, order: ArrivalOrder,
               lo: float = K.AMOUNT_MIN, hi: float = K.AMOUNT_MAX) -> dict[str, DataFrame]:
     """Cleaned sources, rejects and the four aggregates, by table name.  Absent sources are left out."""
-    out: dict[str, DataFrame] = {name: sources[name] for name in ("produits", "magasins") if name in sources}
+    # written, so that Spark knows their size when it joins them
+    out: dict[str, DataFrame] = {name: materialise(sources[name], name) for name in ("produits", "magasins") if name in sources}
     if "clients" in sources:
         out["clients"] = materialise(clean_clients(sources["clients"], as_of, order.clients), "clients")
     if "transactions" in sources:
@@ -66,24 +68,54 @@ def transform(sources: Mapping[str, DataFrame], as_of: str | dt.date, order: Arr
         # five loads read the cleaned fact: it is joined and written once
         out["transactions"] = materialise(valid, "transactions")
         out["transactions_rejetees"] = rejected
-        out |= all_aggregates(out["transactions"])
+        out |= all_aggregates(out["transactions"], out.get("produits"))
     return out
 
 
-def load(tables: Mapping[str, DataFrame], root: str, run_id: str) -> tuple[bool, DataFrame | None]:
+def load(tables: Mapping[str, DataFrame], root: str, run_id: str,
+         rejected: Mapping[str, int] | None = None) -> tuple[bool, DataFrame | None]:
     """Load the staging and mart tables among ``tables``."""
     staging = {name: df for name, df in tables.items() if name in STAGING_TABLES}
     marts = {name: df for name, df in tables.items() if name in MART_TABLES}
-    return load_all(staging, marts, root, run_id)
+    return load_all(staging, marts, root, run_id, rejected)
 
 
 def run(sources: Mapping[str, DataFrame], root: str, run_id: str, as_of: str | dt.date, order: ArrivalOrder,
-        lo: float = K.AMOUNT_MIN, hi: float = K.AMOUNT_MAX) -> tuple[bool, DataFrame | None]:
-    """Transform, keep the rejects for audit, load: (success, journal rows)."""
-    tables = transform(sources, as_of, order, lo, hi)
-    if "transactions_rejetees" in tables:
-        write_rejects(tables["transactions_rejetees"], f"{root}/rejets", as_of)
-    return load(tables, root, run_id)
+        lo: float = K.AMOUNT_MIN, hi: float = K.AMOUNT_MAX,
+        tiebreak: Sequence[str] | None = None) -> tuple[bool, DataFrame | None]:
+    """Transform, keep the rejects for audit, load staging tables, aggregates and marts, register the views:
+    (success, journal rows).  The marts need all four sources.  What the run wrote in between is deleted."""
+    spark = next(iter(sources.values())).sparkSession
+    with scratch(spark):
+        tables = transform(sources, as_of, order, lo, hi)
+        rejected = {}
+        if "transactions_rejetees" in tables:
+            write_rejects(tables["transactions_rejetees"], f"{root}/rejets", as_of)
+            rejected["transactions"] = tables["transactions_rejetees"].count()
+        if set(sources) >= set(STAGING_TABLES):
+            tables |= {name: df for name, df in models(sources, as_of, lo, hi, tiebreak).items() if name in MART_TABLES}
+        result = load(tables, root, run_id, rejected)
+    if "ca_mensuel" in tables:
+        register_views(spark, read_table(spark, root, "marts.ca_mensuel"))
+    return result
+
+
+def run_increment(source: DataFrame, root: str, name: str, keys: Sequence[str], updated: str = "date_maj",
+                  run_id: str = "") -> DataFrame:
+    """Extract what a source changed since its last mark, merge it into its staging table, store the new mark.
+
+    Returns the journal row of the merge.  The mark is stored last: a run that fails before is repeated whole.
+    """
+    spark = source.sparkSession
+    marks = read_table(spark, root, "staging.marques")
+    if marks is None:
+        mark_type = source.schema[updated].dataType.simpleString()
+        marks = spark.createDataFrame([], f"table_cible string, derniere_extraction {mark_type}")
+    delta = materialise(incremental_extract(source, marks, name, updated), "delta")
+    loaded = load_table(delta, root, f"staging.{name}", UPSERT, keys, [updated], run_id)
+    load_table(next_mark(delta, name, updated), root, "staging.marques", UPSERT, ["table_cible"],
+               ["derniere_extraction"], run_id, buckets=1)
+    return loaded
 
 
 def models(sources: Mapping[str, DataFrame], as_of: str | dt.date, lo: float = K.AMOUNT_MIN,
@@ -107,8 +139,12 @@ def models(sources: Mapping[str, DataFrame], as_of: str | dt.date, lo: float = K
 
 
 def quality(sources: Mapping[str, DataFrame], run_date: str | dt.date) -> DataFrame:
-    """The daily quality report: all checks in one table."""
-    tx = sources["transactions"]
+    """The daily quality report: all checks in one table.
+
+    The fact is read once: the columns that are checked are written, and all checks read those.
+    """
+    tx = materialise(sources["transactions"].select("transaction_id", "date_transaction", "montant_total_xaf", "client_id",
+                                                    "produit_id", "magasin_id"), "quality")
     dimensions = {"client_id": sources["clients"], "produit_id": sources["produits"],
                   "magasin_id": sources["magasins"]}
     return quality_summary(completeness_check(sources["clients"]), duplicate_check(tx), amount_anomalies(tx),

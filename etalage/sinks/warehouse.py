@@ -1,13 +1,17 @@
 """Warehouse tables as Parquet, with an append-only journal of loads.
 
-Each load writes to a folder of its own; the journal row appended afterwards makes it current.  A failed
-or repeated task therefore never damages what readers see, and a table can be rewritten from itself.
+Each load writes to a folder of its own, in one or more pieces; the journal row appended afterwards makes them
+current and names the pieces that they replace.  What a table holds follows from these lists alone, not from
+any clock: a load that ended while another was rewriting the table is in nobody's list and stays.  A rewrite whose
+pieces are no longer all current when it ends is done again; a failed or repeated task never damages what
+readers see, and a table can be rewritten from itself.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+import zlib
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
@@ -15,8 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from etalage import contracts as K
-from etalage.operators.rows import keep_last
-from etalage.storage import materialise
+from etalage.operators.rows import keep_last, union_aligned
+from etalage.storage import delete, materialise
 
 # Load states, strategies and the tables of the two zones.
 DONE = "succès"
@@ -24,39 +28,57 @@ FAILED = "échec"
 SKIPPED = "ignoré (DataFrame vide)"
 REPLACE, APPEND, UPSERT = "replace", "append", "upsert"
 STAGING_TABLES = ["clients", "transactions", "produits", "magasins"]
-MART_TABLES = ["ca_mensuel", "top_produits", "performance_magasins", "segmentation_rfm"]
+MART_TABLES = ["ca_mensuel", "top_produits", "performance_magasins", "segmentation_rfm",
+               "mart_ventes", "mart_clients", "mart_produits"]
+
+BUCKETS = 64
+ATTEMPTS = 3
+_BUCKET = "__seau"
+
+
+class ConcurrentLoad(RuntimeError):
+    """A table was rewritten by others each time this load tried to."""
 
 
 def load_table(df: DataFrame, root: str, table: str, strategy: str = REPLACE, keys: Sequence[str] = (),
-               order_by: Sequence[str] = (), run_id: str = "") -> DataFrame:
+               order_by: Sequence[str] = (), run_id: str = "", rejected: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """Write ``df`` into ``table`` (``zone.name``), append its journal row and return that row.
 
     ``replace`` and ``append`` do what they say; ``upsert`` replaces rows with equal ``keys`` and adds the
-    others, the last of several updates (by ``order_by``) winning.  Source rows are counted as they are
-    written.  An empty source changes nothing.
+    others, the last of several updates (by ``order_by``) winning.  An upserted table is kept in ``buckets``
+    pieces by a hash of its keys, and only pieces that hold keys of the updates are rewritten.  Source rows are
+    counted as they are written.  An empty source changes nothing.  ``rejected`` is what the caller left out.
     """
     if strategy not in (REPLACE, APPEND, UPSERT):
         raise ValueError(f"unknown strategy: {strategy}")
     spark, started = df.sparkSession, _now()
-    location = f"{root}/{table.replace('.', '/')}/run={uuid.uuid4().hex}"
     entry = {"table_cible": table, "strategie": strategy, "debut_chargement": started, "pipeline_run_id": run_id,
              "statut": FAILED, "nb_lignes_source": 0, "nb_lignes_inserees": 0, "nb_lignes_mises_a_jour": 0,
-             "nb_lignes_rejetees": 0, "erreur": None, "emplacement": None}
+             "nb_lignes_rejetees": rejected, "erreur": None, "emplacement": None, "morceaux": [], "remplace": []}
+    location = _new_folder(root, table)
     source = Observation()
     observed = df.observe(source, F.count(F.lit(1)).alias("n"))
     try:
         if strategy == UPSERT:
             updates = materialise(keep_last(observed, list(keys), list(order_by)), "updates")
-            entry |= _write_upsert(spark, updates, root, table, keys, location)
+            # a source that Spark knows to be empty is not observed
+            n = 0 if updates.isEmpty() else source.get["n"]
+            if n:
+                entry |= _upsert_until_current(spark, updates, root, table, list(keys), buckets)
         else:
+            before = current_pieces(spark, root, table) if strategy == REPLACE else []
             observed.write.parquet(location)
-        entry["nb_lignes_source"] = source.get["n"]
-        if strategy != UPSERT:
-            entry["nb_lignes_inserees"] = source.get["n"]
-        entry["statut"] = DONE if source.get["n"] else SKIPPED
-        entry["emplacement"] = location if source.get["n"] else None
+            n = source.get["n"]
+            if n:
+                entry |= {"nb_lignes_inserees": n, "emplacement": location, "morceaux": [location],
+                          "remplace": before}
+            else:
+                delete(spark, location)
+        entry["nb_lignes_source"] = n
+        entry["statut"] = DONE if n else SKIPPED
     except Exception as error:  # journaled, then raised as it came
-        entry["erreur"] = str(error)[:2000]
+        delete(spark, location)
+        entry["erreur"] = str(error)
         _append_journal(spark, root, entry)
         raise
     return _append_journal(spark, root, entry)
@@ -68,33 +90,108 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def _write_upsert(spark: SparkSession, updates: DataFrame, root: str, table: str, keys: Sequence[str],
-                  location: str) -> dict[str, int]:
-    target = read_table(spark, root, table)
-    if target is None:
-        updates.write.parquet(location)
-        return {"nb_lignes_inserees": updates.count()}
-    upsert(target, updates, keys).write.parquet(location)
+def _upsert_until_current(spark: SparkSession, updates: DataFrame, root: str, table: str, keys: list[str],
+                          buckets: int) -> dict:
+    for _ in range(ATTEMPTS):
+        done = _write_upsert(spark, updates, root, table, keys, buckets)
+        if set(done["remplace"]) <= set(current_pieces(spark, root, table)):
+            return done
+        delete(spark, done["emplacement"])
+    raise ConcurrentLoad(table)
+
+
+def _write_upsert(spark: SparkSession, updates: DataFrame, root: str, table: str, keys: list[str],
+                  buckets: int) -> dict:
+    """Rewrite the pieces that hold keys of ``updates``, and all pieces that are not in buckets of these keys."""
+    scheme = f"seaux-{zlib.crc32('|'.join([*keys, str(buckets)]).encode()):08x}"
+    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+    pieces = current_pieces(spark, root, table)
+    kept_in_buckets = {p for p in pieces if f"-{scheme}/{_BUCKET}=" in p}
+    loose = [p for p in pieces if p not in kept_in_buckets]
+
+    def numbers(df: DataFrame) -> set[int]:  # at most ``buckets`` of them
+        return {r[0] for r in df.select(bucket.alias("b")).distinct().collect()}
+
+    touched = numbers(updates)
+    if loose:
+        touched |= numbers(spark.read.parquet(*loose))
+    old = loose + sorted(p for p in kept_in_buckets if int(p.rpartition("=")[2]) in touched)
+    location = _new_folder(root, table, scheme)
+    target = spark.read.parquet(*old) if old else None
+    rows = upsert(target, updates, keys) if target is not None else updates
+    (rows.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(location))
+    new = [f"{location}/{_BUCKET}={b}" for b in sorted(touched)]
     # these counts read file footers only
-    after, new = spark.read.parquet(location).count(), updates.count()
-    replaced = target.count() - (after - new)
-    return {"nb_lignes_inserees": new - replaced, "nb_lignes_mises_a_jour": replaced}
+    after, changed = spark.read.parquet(*new).count(), updates.count()
+    replaced = (target.count() if target is not None else 0) - (after - changed)
+    return {"nb_lignes_inserees": changed - replaced, "nb_lignes_mises_a_jour": replaced, "emplacement": location,
+            "morceaux": new, "remplace": old}
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """What the table holds now; None before its first load.
+def current_pieces(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The pieces a table consists of now.
 
-    The journal gives the folders of the last rewrite and of the appends since, a list as long as the
-    number of those loads.
+    Loads are taken in the order of their journal rows; a rewrite counts only if all pieces that it was made
+    from are still there, so of two rewrites of the same pieces all readers see the same one.  The list is as
+    long as the loads since the last rewrite and the number of buckets.
     """
     journal = read_journal(spark, root)
     if journal is None:
-        return None
+        return []
     done = journal.where((F.col("table_cible") == table) & (F.col("statut") == DONE))
-    rewrite = done.where(F.col("strategie") != APPEND).agg(F.max("fin_chargement")).scalar()
-    current = done.where(rewrite.isNull() | (F.col("fin_chargement") >= rewrite))
-    folders = [row["emplacement"] for row in current.select("emplacement").collect()]
-    return spark.read.parquet(*folders) if folders else None
+    loads = done.select("fin_chargement", "emplacement", "strategie", "morceaux", "remplace").collect()
+    current: dict[str, None] = {}
+    for load in sorted(loads, key=lambda r: (r["fin_chargement"], r["emplacement"])):
+        if load["strategie"] == UPSERT and not set(load["remplace"]) <= current.keys():
+            continue
+        for piece in load["remplace"]:
+            current.pop(piece, None)
+        current |= dict.fromkeys(load["morceaux"])
+    return list(current)
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """What the table holds now; None before its first load."""
+    pieces = current_pieces(spark, root, table)
+    return spark.read.parquet(*pieces) if pieces else None
+
+
+def compact(spark: SparkSession, root: str, table: str, run_id: str = "") -> DataFrame | None:
+    """Write the pieces of a table that was appended to often as one; its journal row, or None without a table."""
+    now = read_table(spark, root, table)
+    return None if now is None else load_table(now, root, table, REPLACE, run_id=run_id)
+
+
+def vacuum(spark: SparkSession, root: str, table: str, before: dt.datetime) -> list[str]:
+    """Delete folders and pieces of a table that are not current and were last written before ``before`` (UTC).
+
+    Choose a time that no running load or reader goes back to.  Returns what was deleted.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{table.replace('.', '/')}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    current = {p.partition("/run=")[2] for p in current_pieces(spark, root, table)}
+    limit = before.replace(tzinfo=dt.timezone.utc).timestamp() * 1000
+    gone = []
+    for load in files.listStatus(folder):
+        name = load.getPath().getName().removeprefix("run=")
+        if load.getModificationTime() >= limit or name in current:
+            continue
+        inside = {p for p in current if p.startswith(f"{name}/")}
+        if not inside:
+            gone.append(load.getPath())
+            continue
+        gone += [piece.getPath() for piece in files.listStatus(load.getPath())
+                 if piece.isDirectory() and f"{name}/{piece.getPath().getName()}" not in inside]
+    for path in gone:
+        files.delete(path, True)
+    return [path.toString() for path in gone]
+
+
+def _new_folder(root: str, table: str, scheme: str = "") -> str:
+    return f"{root}/{table.replace('.', '/')}/run={uuid.uuid4().hex}{f'-{scheme}' if scheme else ''}"
 
 
 def read_journal(spark: SparkSession, root: str) -> DataFrame | None:
@@ -106,9 +203,10 @@ def read_journal(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def staging_loads(frames: Mapping[str, DataFrame], root: str, run_id: str) -> list[DataFrame]:
+def staging_loads(frames: Mapping[str, DataFrame], root: str, run_id: str,
+                  rejected: Mapping[str, int] | None = None) -> list[DataFrame]:
     """Replace the staging tables that are given."""
-    return [load_table(frames[name], root, f"staging.{name}", run_id=run_id)
+    return [load_table(frames[name], root, f"staging.{name}", run_id=run_id, rejected=(rejected or {}).get(name, 0))
             for name in STAGING_TABLES if name in frames]
 
 
@@ -118,10 +216,10 @@ def mart_loads(frames: Mapping[str, DataFrame], root: str, run_id: str) -> list[
             for name in MART_TABLES if name in frames]
 
 
-def load_all(staging: Mapping[str, DataFrame], marts: Mapping[str, DataFrame], root: str,
-             run_id: str) -> tuple[bool, DataFrame | None]:
-    """Load staging, then marts: (no load failed, journal rows of this run)."""
-    rows = staging_loads(staging, root, run_id) + mart_loads(marts, root, run_id)
+def load_all(staging: Mapping[str, DataFrame], marts: Mapping[str, DataFrame], root: str, run_id: str,
+             rejected: Mapping[str, int] | None = None) -> tuple[bool, DataFrame | None]:
+    """Load staging, then marts: (no load failed, journal rows of this run).  ``rejected`` counts rows per table."""
+    rows = staging_loads(staging, root, run_id, rejected) + mart_loads(marts, root, run_id)
     if not rows:
         return True, None
     spark = rows[0].sparkSession
@@ -135,13 +233,22 @@ def load_report(journal: DataFrame) -> DataFrame:
                                          F.sum("nb_lignes_inserees").alias("nb_lignes_inserees"))
 
 
-def pipeline_summary(journal: DataFrame) -> DataFrame:
-    """Rows per zone and table in the latest load of each table."""
+def stage_counts(stage: str, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each table of a stage, as rows for ``pipeline_summary``; one pass per table."""
+    counts = [df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
+        F.lit(stage).alias("etape"), F.lit(name).alias("nom_table"), "nb_lignes",
+        F.lit(None).cast("string").alias("statut")) for name, df in frames.items()]
+    return union_aligned(*counts)
+
+
+def pipeline_summary(journal: DataFrame, *stages: DataFrame) -> DataFrame:
+    """Rows per zone and table in the latest load of each table, after those of earlier stages."""
     latest = Window.partitionBy("table_cible").orderBy(F.desc("fin_chargement"))
     zone = F.split("table_cible", r"\.")
-    return (journal.withColumn("rn", F.row_number().over(latest)).where("rn = 1")
-                   .select(F.get(zone, F.lit(0)).alias("etape"), F.get(zone, F.lit(1)).alias("nom_table"),
+    loads = (journal.withColumn("rn", F.row_number().over(latest)).where("rn = 1")
+                    .select(F.get(zone, F.lit(0)).alias("etape"), F.get(zone, F.lit(1)).alias("nom_table"),
                            F.col("nb_lignes_inserees").alias("nb_lignes"), "statut"))
+    return union_aligned(*stages, loads)
 
 
 def _append_journal(spark: SparkSession, root: str, entry: dict) -> DataFrame:

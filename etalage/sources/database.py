@@ -54,7 +54,8 @@ def erp_orders(orders: DataFrame, sellers: DataFrame, start: str | dt.date = K.P
     named = kept.join(sellers.select("vendeur_id", "nom_commercial"), "vendeur_id", "left")
     return named.select("commande_id", "date_commande", "client_id", "montant_ht_xaf", "taux_tva",
                         gross_amount(F.col("montant_ht_xaf"), F.col("taux_tva")).alias("montant_ttc_xaf"),
-                        "mode_livraison", "statut_commande", F.col("nom_commercial").alias("commercial_id"))
+                        "mode_livraison", "statut_commande", F.col("nom_commercial").alias("commercial_id"),
+                        F.lit(K.SOURCE_ERP).alias("source"))
 
 
 def price_history(prices: DataFrame) -> DataFrame:

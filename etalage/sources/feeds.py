@@ -36,7 +36,7 @@ def fx_pairs(landed: DataFrame, date: str | dt.date | None = None) -> DataFrame:
         landed = landed.where(F.col("date") == dates.day(date))
     pair = F.split("paire", "_")
     return landed.select(F.get(pair, F.lit(0)).alias("devise_source"), F.get(pair, F.lit(1)).alias("devise_cible"),
-                         F.round("taux", 6).alias("taux"), "date")
+                         F.round("taux", 6).alias("taux"), "date", F.lit(K.SOURCE_FX).alias("source"))
 
 
 def events_in_range(events: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:

@@ -7,14 +7,15 @@ lost executors, and lets later reads prune columns and skip row groups.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
-
-# A written table of at most this many rows may be ranked in one task.
-SMALL_ROWS = 1_000_000
+_SCOPE: contextvars.ContextVar[str] = contextvars.ContextVar("scratch scope", default="")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path under this application's part of the shared folder."""
-    return f"{_application_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}{_SCOPE.get()}/{tag}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -37,25 +38,27 @@ def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_small(written: DataFrame, limit: int | None = None) -> bool:
-    """Whether a written table has few enough rows for one task; reads file footers only."""
-    return written.count() <= (SMALL_ROWS if limit is None else limit)
-
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written inside when the block ends; nothing read from them may be used after it."""
+    token = _SCOPE.set(f"{_SCOPE.get()}/run-{uuid.uuid4().hex}")
+    folder = f"{_application_folder(spark)}{_SCOPE.get()}"
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        delete(spark, folder)
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a table that arrives in fewer splits than there are cores, else leave it alone.
 
-    A file of a few row groups would otherwise keep all its work on as many tasks.  Tables of any size
-    have more splits than cores, and no shuffle is added for them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every table this application materialised; their DataFrames can no longer be read."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, _application_folder(spark))
 
 
 def _application_folder(spark: SparkSession) -> str:

@@ -43,9 +43,23 @@ def upsert_stream(spark: SparkSession, folder: str, schema: T.StructType, root:
             .trigger(availableNow=True).start())
 
 
+def daily_volume_table(rows: DataFrame, ts: str, root: str, table: str, checkpoint: str, late: str = "1 day",
+                       minimum: int = K.DAILY_ROWS_MIN) -> StreamingQuery:
+    """Keep a warehouse table of the rows per day of a stream: every day that has rows, with its latest count."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            load_table(batch, root, table, UPSERT, ["jour"], ["nb_lignes"], run_id=f"batch-{batch_id}", buckets=1)
+
+    return (daily_volume_stream(rows, ts, late, minimum).writeStream.outputMode("update").foreachBatch(merge)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def daily_volume_stream(rows: DataFrame, ts: str, late: str = "1 day", minimum: int = K.DAILY_ROWS_MIN) -> DataFrame:
-    """Rows per calendar day of a stream, whatever the session's time zone; a day is put out once no row
-    up to ``late`` behind can still arrive."""
+    """Rows per calendar day of a stream, whatever the session's time zone.
+
+    In append mode a day is put out once no row up to ``late`` behind can still arrive, so the last days stay
+    open; in update mode every day is put out as it changes, for a table that keeps the latest count.
+    """
     # windows start at midnight UTC, so the rows' own clock is put there
     clock = F.from_utc_timestamp(F.col(ts).cast("timestamp_ntz").cast("timestamp"), F.current_timezone())
     per_day = (rows.withColumn("__ts", clock).withWatermark("__ts", late)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from etalage import contracts as K
+
 WS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 AS_OF = "DATE '2001-12-31'"
 LO, HI = 500_000, 10_000_000  # 5,000 and 100,000 in hundredths
@@ -45,21 +47,18 @@ def title(c: str) -> str:
             " lambda w: CASE WHEN w[1] = 'ß' THEN w[1] ELSE upper(w[1]) END || w[2:]), '')")
 
 
-def coded(c: str, codes: dict[str, list[str]], default: str) -> str:
-    cases = " ".join(f"WHEN lower({strip(c)}) IN ({', '.join(repr(x) for x in names)}) THEN '{code}'"
-                     for code, names in codes.items())
-    return f"CASE {cases} ELSE {default} END"
+def case_of(x: str, values: dict[str, str], default: str) -> str:
+    """CASE over one of the code lists."""
+    arms = " ".join(f"WHEN '{key}' THEN '{value}'" for key, value in values.items())
+    return f"CASE {x} {arms} ELSE {default} END"
+
 
+def coded(c: str, codes: dict[str, str], default: str) -> str:
+    return case_of(f"lower({strip(c)})", codes, default)
 
-CITY_CODES = {"Brazzaville": ["brazzaville", "brazza", "bzv"], "Pointe-Noire": ["pointe-noire", "pointenoire", "pnr"],
-              "Dolisie": ["dolisie", "loubomo"], "Ouesso": ["ouesso"], "Nkayi": ["nkayi"], "Impfondo": ["impfondo"]}
-SEX_CODES = {"M": ["m", "h", "homme", "masculin"], "F": ["f", "femme", "féminin", "feminin"]}
-CATEGORY_CODES = {"Standard": ["standard", "std", "normal"], "Premium": ["premium", "prem"],
-                  "VIP": ["vip", "very important"]}
-REGION = ("CASE {0} WHEN 'Brazzaville' THEN 'Pool' WHEN 'Pointe-Noire' THEN 'Kouilou' WHEN 'Dolisie' THEN 'Niari' "
-          "WHEN 'Ouesso' THEN 'Sangha' WHEN 'Nkayi' THEN 'Bouenza' WHEN 'Impfondo' THEN 'Likouala' ELSE 'Autre' END")
-MONTHS = ("['Janvier','Février','Mars','Avril','Mai','Juin','Juillet','Août','Septembre','Octobre','Novembre',"
-          "'Décembre'][month({0})]")
+
+REGION = case_of("{0}", K.REGION_BY_CITY, "'Autre'")
+MONTHS = "[" + ",".join(f"'{m}'" for m in K.MONTH_NAMES) + "][month({0})]"
 CITY = "coalesce(['Brazzaville','Pointe-Noire','Dolisie','Ouesso','Nkayi','Impfondo','Sibiti'][n_nationkey % 8 + 1], n_name)"
 EMAIL_OK = r"coalesce(regexp_matches({0}, '^[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{{2,}}$'), false)"
 
@@ -316,8 +315,8 @@ CTES["valid"] = "SELECT * FROM routed WHERE motif_rejet IS NULL"
 
 CTES["std_clients"] = f"""
 SELECT client_id, coalesce(upper({strip('nom')}), '') AS nom, {hyphen('prenom')} AS prenom, {std_email('email')} AS email,
-  {phone('telephone')} AS telephone, {coded('ville', CITY_CODES, 'ville')} AS ville, {coded('sexe', SEX_CODES, "'Inconnu'")} AS sexe,
-  {coded('categorie', CATEGORY_CODES, "'Standard'")} AS categorie, date_inscription, rang_arrivee FROM untidy"""
+  {phone('telephone')} AS telephone, {coded('ville', K.CITY_ALIASES, 'ville')} AS ville, {coded('sexe', K.SEX_CODES, "'Inconnu'")} AS sexe,
+  {coded('categorie', K.CATEGORY_CODES, "'Standard'")} AS categorie, date_inscription, rang_arrivee FROM untidy"""
 
 CTES["cleaned_clients"] = f"""
 SELECT * FROM (SELECT * FROM std_clients QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY rang_arrivee DESC) = 1)
@@ -433,7 +432,7 @@ LIMIT 100"""
 Q["union_aligned"] = """
 SELECT client_id, email, ville, NULL::VARCHAR AS magasin_id FROM untidy
 UNION ALL SELECT NULL, NULL, ville, magasin_id FROM stores"""
-Q["key_set_difference"] = "SELECT client_id FROM clients WHERE client_id NOT IN (SELECT client_id FROM tx)"
+Q["key_set_difference"] = "SELECT DISTINCT magasin_id FROM tx WHERE magasin_id NOT IN (SELECT magasin_id FROM active)"
 
 # filters and joins -----------------------------------------------------------------------------
 
@@ -597,7 +596,7 @@ Q["validate_transactions"] = f"""
 SELECT transaction_id, {DAY}, produit_id, magasin_id, {money('montant_c')} AS montant_total_xaf, quantite,
   len(e) = 0 AS est_valide, array_to_string(e, ' | ') AS erreurs FROM checked_tx"""
 Q["error_details"] = """
-SELECT erreur, count(*) AS nb FROM (SELECT unnest(e[1:3]) AS erreur FROM checked_clients) GROUP BY erreur"""
+SELECT erreur, count(*) AS nb FROM (SELECT unnest(e) AS erreur FROM checked_clients) GROUP BY erreur"""
 
 TX_COLUMNS = {"transaction_id": "transaction_id", "date_transaction": "date_transaction", "magasin_id": "magasin_id",
               "produit_id": "produit_id", "quantite": "quantite", "montant_total_xaf": "montant_c",
@@ -750,12 +749,15 @@ Q["table_constraints"] = union(
                  [("transaction_id",)], positive=["quantite", "montant_total_xaf"], columns=TX_COLUMNS),
     *table_tests("produits", "products", ["produit_id", "nom_produit"], [("produit_id",)]),
     *table_tests("magasins", "stores", ["magasin_id"], [("magasin_id",)]),
-    *table_tests("ca_mensuel", "monthly", ["mois_annee", "annee", "mois"], [("mois_annee", "magasin_id")]))
+    *table_tests("ca_mensuel", "monthly", ["mois_annee", "annee", "mois"], [("mois_annee", "magasin_id")]),
+    *table_tests("top_produits", "products", unique=[("produit_id",)]),
+    *table_tests("performance_magasins", "stores", unique=[("magasin_id",)]),
+    *table_tests("segmentation_rfm", "clients", unique=[("client_id",)]))
 
 # sources and sinks -----------------------------------------------------------------------------------
 
 Q["csv_transactions"] = f"""
-SELECT nullif(transaction_id, '') AS transaction_id, CASE WHEN quantite <> 4 THEN strftime(date_transaction, '%Y-%m-%d') END AS date_transaction,
+SELECT nullif(transaction_id, '') AS transaction_id, CASE WHEN quantite <> 4 THEN strftime(date_transaction, '%Y-%m-%d 06:30:00.000000') END AS date_transaction,
   magasin_id, produit_id, CASE WHEN quantite = 3 THEN 0 ELSE quantite END AS quantite, {money('montant_c')} AS montant_total_xaf,
   canal_vente, client_id, mode_paiement, statut, {money('prix_c')} AS prix_unitaire_xaf FROM faulty"""
 Q["csv_clients"] = f"""
@@ -776,15 +778,16 @@ Q["extract_reports"] = union(
     summary("magasins", "stores", ["magasin_id", "nom_magasin", "ville", "quartier", "adresse", "responsable", "telephone",
                                    "surface_m2", "date_ouverture", "statut"]))
 Q["bronze_ingest"] = """
-SELECT magasin_id, CAST(surface_m2 AS VARCHAR) AS surface_m2, '2002-01-01' AS ingest_date, 'ok' AS etat FROM stores"""
-Q["bronze_stream"] = "SELECT magasin_id, nom_magasin, CAST(surface_m2 AS VARCHAR) AS surface_m2, 'ok' AS etat FROM stores"
+SELECT CASE WHEN quantite = 13 THEN concat_ws(',', transaction_id, magasin_id, produit_id, quantite, '?') ELSE transaction_id END AS ligne,
+  CASE WHEN quantite <> 13 THEN CAST(quantite AS VARCHAR) END AS quantite, CASE WHEN quantite = 13 THEN 'quarantaine' ELSE 'ok' END AS etat FROM tx"""
+Q["bronze_stream"] = Q["bronze_ingest"]
 Q["erp_orders"] = """
 SELECT 'CMD' || o_orderkey AS commande_id, strftime(o_orderdate, '%Y-%m-%d') AS date_commande, 'C' || o_custkey AS client_id,
   CAST(floor(o_totalprice) AS BIGINT) AS montant_ht_xaf, CAST(18 AS DOUBLE) AS taux_tva,
   round_even(floor(o_totalprice) * (1 + 18::DOUBLE / 100), 0) AS montant_ttc_xaf,
   CASE WHEN o_orderkey % 2 = 0 THEN 'Livraison domicile' ELSE 'Retrait magasin' END AS mode_livraison,
-  ['Livré', 'En cours', 'Supprimé'][o_orderkey % 4 + 1] AS statut_commande, s_name AS commercial_id
-FROM orders LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey < 100) ON s_suppkey = o_orderkey % 120
+  ['Livré', 'En cours', 'Supprimé'][o_orderkey % 4 + 1] AS statut_commande, s_name AS commercial_id, 'ERP_INTERNE' AS source
+FROM orders LEFT JOIN supplier ON s_suppkey = o_orderkey % 1200
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' AND o_orderkey % 4 < 2"""
 Q["price_history"] = """
 SELECT produit_id, ancien_prix_xaf, nouveau_prix_xaf, strftime(d, '%Y-%m-%d') AS date_changement, motif_changement, operateur_id,
@@ -794,49 +797,54 @@ FROM (SELECT 'P' || l_partkey AS produit_id, CAST(floor(p_retailprice) AS BIGINT
   CASE l_linenumber % 3 WHEN 0 THEN 'Promotion' WHEN 1 THEN 'Fin promotion' ELSE 'Révision tarifaire' END AS motif_changement,
   'T' || l_orderkey || '-' || l_linenumber AS operateur_id FROM lineitem JOIN part ON p_partkey = l_partkey)"""
 Q["price_snapshot"] = """
-SELECT 'P' || l_partkey AS produit_id, p AS prix_actuel_xaf, round_even((p - ref) / ref * 100 * 100, 0) / 100 AS variation_pct,
-  strftime(d, '%Y-%m-%d %H:%M:%S') AS date_maj_prix, 'API_CATALOGUE' AS source
+SELECT CASE WHEN l_partkey % 13 = 0 THEN 'N' ELSE 'P' END || l_partkey AS produit_id, p AS prix_actuel_xaf, round_even((p - ref) / ref * 100 * 100, 0) / 100 AS variation_pct,
+  strftime(d, '%Y-%m-%d %H:%M:%S.%f') AS date_maj_prix, 'API_CATALOGUE' AS source
 FROM (SELECT l_partkey, CAST(floor(max(l_extendedprice)) AS BIGINT) AS p, max(l_shipdate) AS d,
-        coalesce(any_value(CASE WHEN p_size <= 45 THEN CAST(round(p_retailprice * 100) AS BIGINT) * p_size * 10 END) / 100.0::DOUBLE, 50000) AS ref
+        coalesce(any_value(CASE WHEN l_partkey % 13 <> 0 THEN CAST(round(p_retailprice * 100) AS BIGINT) * p_size * 10 END) / 100.0::DOUBLE, 50000) AS ref
       FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY l_partkey)"""
 Q["fx_pairs"] = """
-SELECT 'XAF' AS devise_source, upper(event_type) AS devise_cible, round(value, 6) AS taux, strftime(ts, '%Y-%m-%d') AS date FROM events"""
+SELECT 'XAF' AS devise_source, upper(event_type) AS devise_cible, round(value, 6) AS taux, strftime(ts, '%Y-%m-%d') AS date, 'API_BEAC_SIMULEE' AS source FROM events"""
 Q["events_in_range"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, event_type AS type, value AS impact_ventes_pct, 'Toutes' AS villes_concernees
 FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""
 CTES["stock"] = """
 SELECT 'M' || l_suppkey AS magasin_id, 'P' || l_partkey AS produit_id, CAST(sum(l_quantity) AS BIGINT) AS quantite_stock,
-  sum(l_quantity) < 10 AS alerte_rupture, strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS date_releve
+  sum(l_quantity) < 10 AS alerte_rupture, strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S.%f') AS date_releve
 FROM lineitem WHERE l_suppkey % 10 <> 0 GROUP BY l_suppkey, l_partkey"""
 Q["stock_alerts"] = "SELECT * FROM stock"
 LOW = rate("count(*) FILTER (alerte_rupture)")
 Q["stockout_rate"] = metric("rupture_stock", "taux_rupture", LOW, "10", f"{LOW} <= 10", "FROM stock")
 Q["incremental_extract"] = """
-SELECT 'ventes' AS source, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_maj, event_type, value FROM events
+SELECT 'ventes' AS source, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date_maj, event_type, value FROM events
 WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')
-UNION ALL SELECT 'stocks', event_id, strftime(ts, '%Y-%m-%d %H:%M:%S'), event_type, value FROM events"""
+UNION ALL SELECT 'stocks', event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), event_type, value FROM events"""
+Q["stage_parquet"] = f"""
+SELECT transaction_id, {DAY}, produit_id, magasin_id, {money('montant_c')} AS montant_total_xaf, quantite FROM tx"""
 Q["upsert_table"] = f"""
 SELECT transaction_id, {DAY}, produit_id, magasin_id, {money('montant_c')} AS montant_total_xaf, quantite FROM {LAST}"""
 Q["upsert_stream"] = Q["upsert_table"]
 LAST_OF_MONTH = """QUALIFY row_number() OVER (PARTITION BY transaction_id, year(date_transaction), month(date_transaction)
   ORDER BY date_transaction DESC, produit_id DESC, magasin_id DESC, montant_c DESC, quantite DESC) = 1"""
-CTES["online"] = f"SELECT * FROM tx WHERE canal_vente = 'En ligne' {LAST_OF_MONTH}"
-CTES["before_two"] = f"SELECT * FROM tx WHERE year(date_transaction) < 2000 {LAST_OF_MONTH}"
+CTES["online"] = f"SELECT * REPLACE (quantite + 1 AS quantite) FROM tx WHERE canal_vente = 'En ligne' {LAST_OF_MONTH}"
+CTES["last_of_month"] = f"SELECT * FROM tx {LAST_OF_MONTH}"
 Q["upsert_partitions"] = f"""
 SELECT transaction_id, {DAY}, produit_id, magasin_id, {money('montant_c')} AS montant_total_xaf, quantite, canal_vente,
   {big('year(t.date_transaction)')} AS annee, {big('month(t.date_transaction)')} AS mois
-FROM (SELECT * FROM online UNION ALL SELECT * FROM before_two b WHERE NOT EXISTS (SELECT 1 FROM online o
+FROM (SELECT * FROM online UNION ALL SELECT * FROM last_of_month b WHERE NOT EXISTS (SELECT 1 FROM online o
   WHERE o.transaction_id = b.transaction_id AND date_trunc('month', o.date_transaction) = date_trunc('month', b.date_transaction))) t"""
 Q["daily_volume_stream"] = """
 SELECT strftime(jour, '%Y-%m-%d') AS jour, n AS nb_lignes, 'OK' AS statut
-FROM (SELECT date_trunc('day', ts) AS jour, count(*) AS n FROM events GROUP BY 1)
-WHERE jour + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)"""
+FROM (SELECT date_trunc('day', ts) AS jour, count(*) AS n FROM events GROUP BY 1)"""
 
 
 def loads() -> list[str]:
     rows = [("staging.clients", "customer", "replace"), ("staging.transactions", "lineitem", "replace"),
-            ("staging.produits", None, "replace"), ("staging.magasins", "supplier", "replace"),
-            ("marts.ca_mensuel", "monthly", "replace"), ("staging.magasins", "supplier", "append")]
+            ("staging.produits", "part", "replace"), ("staging.magasins", "supplier", "replace"),
+            ("marts.ca_mensuel", "monthly", "replace"),
+            ("marts.top_produits", "(SELECT DISTINCT produit_id FROM tx LIMIT 20)", "replace"),
+            ("marts.performance_magasins", "(SELECT DISTINCT magasin_id FROM tx)", "replace"),
+            ("marts.segmentation_rfm", "(SELECT DISTINCT client_id FROM tx)", "replace"),
+            ("staging.magasins", "supplier", "append"), ("staging.clients", None, "append")]
     out = []
     for table, source, strategy in rows:
         n = f"(SELECT count(*) FROM {source})" if source else "0"
@@ -853,7 +861,7 @@ SELECT statut, count(*) AS nb_chargements, {big('sum(nb_lignes_inserees)')} AS n
 FROM ({union(*loads())}) GROUP BY statut"""
 Q["load_summary"] = f"""
 SELECT split_part(table_cible, '.', 1) AS etape, split_part(table_cible, '.', 2) AS nom_table, nb_lignes_inserees AS nb_lignes, statut
-FROM ({union(*loads())}) WHERE NOT (table_cible = 'staging.magasins' AND strategie = 'replace')"""
+FROM ({union(*loads())}) WHERE NOT (table_cible IN ('staging.magasins', 'staging.clients') AND strategie = 'replace')"""
 Q["append_table"] = "SELECT magasin_id, CAST(2 AS BIGINT) AS nb FROM stores"
 Q["partitioned_fact"] = f"""
 SELECT {big('year(date_transaction)')} AS annee, {big('month(date_transaction)')} AS mois, count(*) AS nb_lignes,
@@ -861,13 +869,23 @@ SELECT {big('year(date_transaction)')} AS annee, {big('month(date_transaction)')
   OR strftime(date_transaction, '%Y-%m') NOT IN (SELECT strftime(date_transaction, '%Y-%m') FROM tx WHERE canal_vente = 'En ligne')
 GROUP BY 1, 2"""
 DONE = "'succès' AS statut"
-Q["daily_run"] = union(*[f"SELECT '{table}' AS table_cible, {big(n)} AS nb_lignes_inserees, {DONE}" for table, n in {
+CTES["staged_faulty"] = f"""
+SELECT * FROM faulty WHERE transaction_id <> '' AND montant_c BETWEEN {LO} AND {HI} AND quantite > 0 AND statut <> 'Annulé'
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY date_transaction DESC, {TX_TIES}) = 1"""
+CTES["faulty_groups"] = """
+SELECT DISTINCT date_trunc('month', t.date_transaction), m.magasin_id, p.categorie FROM staged_faulty t
+LEFT JOIN stg_st m ON m.magasin_id = t.magasin_id LEFT JOIN stg_pr p ON p.produit_id = t.produit_id"""
+REJECTED = "(SELECT count(*) FROM routed WHERE motif_rejet IS NOT NULL)"
+Q["daily_run"] = union(*[f"SELECT '{table}' AS table_cible, {big(n)} AS nb_lignes_inserees, "
+                         f"{big(REJECTED if table == 'staging.transactions' else '0')} AS nb_lignes_rejetees, {DONE}" for table, n in {
     "staging.clients": "(SELECT count(*) FROM cleaned_clients)", "staging.transactions": "(SELECT count(*) FROM valid)",
     "staging.produits": "(SELECT count(*) FROM part)", "staging.magasins": "(SELECT count(*) FROM supplier)",
     "marts.ca_mensuel": "(SELECT count(*) FROM (SELECT DISTINCT strftime(date_transaction, '%Y-%m'), magasin_id FROM valid))",
     "marts.top_produits": "(SELECT count(*) FROM (SELECT DISTINCT produit_id FROM valid LIMIT 20))",
     "marts.performance_magasins": "(SELECT count(DISTINCT magasin_id) FROM valid)",
-    "marts.segmentation_rfm": "(SELECT count(DISTINCT client_id) FROM valid)"}.items()])
+    "marts.segmentation_rfm": "(SELECT count(DISTINCT client_id) FROM valid)",
+    "marts.mart_ventes": "(SELECT count(*) FROM faulty_groups)", "marts.mart_produits": "(SELECT count(*) FROM part)",
+    "marts.mart_clients": "(SELECT count(DISTINCT client_id) FROM untidy WHERE client_id <> '' AND nom <> '')"}.items()])
 
 
 def oracle_sql() -> dict[str, str]:

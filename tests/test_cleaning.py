@@ -143,9 +143,9 @@ def test_staged_products_and_stores(spark):
     assert got == [("M1", "Zone Nord", "Grand", 2), ("M2", "Autre zone", "Petit", None)]
 
 
-def test_routing_scans_once_and_cuts_groups_before_the_shuffle(spark, folder):
+def test_routing_cuts_groups_before_the_shuffle_and_spares_rows_without_id(spark, folder):
     tx(spark, (None, 1, "600", "600"), ("a", 1, "600", "600")).write.parquet(f"{folder}/tx")
     routed = X.reject_routing(spark.read.parquet(f"{folder}/tx"), ["n"])
     plan = routed._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 1
     assert "row_number(), 1, Partial" in plan

@@ -24,10 +24,11 @@ def test_report_scores_completeness_and_duplicates(spark):
     assert tuple(Q.quality_report(df.limit(0), "vide")[0].first())[1:] == (0, 2, 0, 0, 0, 50.0)
 
 
-def test_details_stop_at_three_per_row(spark):
+def test_details_hold_all_messages_or_the_first(spark):
     df = spark.createDataFrame([(1,), (2,)], "v int")
     always = [Rule(str(i), F.lit(True), F.lit(str(i))) for i in range(5)]
-    assert Q.error_details(df, always).count() == 6
+    assert Q.error_details(df, always).count() == 10
+    assert Q.error_details(df, always, per_row=3).count() == 6
 
 
 def test_completeness(spark):
@@ -85,7 +86,7 @@ def test_column_tests(spark):
              CT.ColumnTest("child", "k", "unique", key=("k", "n")), CT.ColumnTest("absent", "k", "unique")]
     got = rows(CT.run_column_tests({"child": child, "parent": parent}, tests), "column", "test", "failures", "status")
     assert got == [("c", "accepted_values", 1, "ALERTE"), ("k", "not_null", 1, "ALERTE"), ("k", "relationships", 1, "ALERTE"),
-                   ("k", "unique", 1, "ALERTE"), ("k+n", "unique", 0, "OK"), ("n", "positive", 1, "ALERTE")]
+                   ("k", "unique", 1, "ALERTE"), ("k", "unique", None, "NON EXÉCUTÉ"), ("k+n", "unique", 0, "OK"), ("n", "positive", 1, "ALERTE")]
 
 
 def test_the_declared_tests_are_complete():

@@ -35,9 +35,8 @@ def test_row_number_and_rank(spark, partitions):
     df = table(spark, 400, partitions)
     order = Window.orderBy(F.desc("v"), "k")
     want = df.withColumn("r", F.row_number().over(order).cast("long"))
-    assert rows(R.global_row_number(df, [F.desc("v"), F.asc("k")], "r", small_rows=0)) == rows(want)
+    assert rows(R.global_row_number(df, [F.desc("v"), F.asc("k")], "r")) == rows(want)
     want = df.withColumn("r", F.rank().over(Window.orderBy(F.desc("v"))).cast("long"))
-    assert rows(R.global_rank(df, "v", "k", "r", small_rows=0)) == rows(want)
     assert rows(R.global_rank(df, "v", "k", "r")) == rows(want)
 
 
@@ -45,10 +44,9 @@ def test_row_number_and_rank(spark, partitions):
 def test_tiles(spark, n):
     df = table(spark, n, n)
     want = df.withColumn("t", F.ntile(5).over(Window.orderBy("v", "k")))
-    for small in (0, None):
-        edges = R.ntile_edges(df, 5, "v", "k", small_rows=small).scalar()
-        got = df.withColumn("t", R.ntile_of(F.col("v"), F.col("k"), edges, 5))
-        assert rows(got) == rows(want)
+    edges = R.ntile_edges(df, 5, "v", "k").scalar()
+    got = df.withColumn("t", R.ntile_of(F.col("v"), F.col("k"), edges, 5))
+    assert rows(got) == rows(want)
     sizes = [r["count"] for r in want.groupBy("t").count().collect()]
     assert max(sizes) - min(sizes) <= 1
 
@@ -58,9 +56,8 @@ def test_quantiles_interpolate_linearly(spark, partitions, n):
     df = table(spark, n, n + partitions)
     probs = [0.0, 0.1, 0.25, 0.5, *QUINTILES, 1.0]
     values = [r["v"] for r in df.collect()]
-    for small in (0, None):
-        got = QT.exact_quantiles(df, "v", probs, small_rows=small).first()["q"]
-        assert np.allclose(got, np.quantile(values, probs), rtol=1e-12)
+    got = QT.exact_quantiles(df, "v", probs).first()["q"]
+    assert np.allclose(got, np.quantile(values, probs), rtol=1e-12)
 
 
 def test_quantiles_without_rows_and_with_nulls(spark):
