@@ -101,50 +101,63 @@ def thresholds(sketch: DataFrame, depth: int, min_docs: int = MIN_DOCS, spread:
             merged = merged.withColumn(k, F.lit(None).cast("string"))
         levels = merged if levels is None else levels.unionByName(merged)
     group = [*keys, "level", "metric"]
-    ordered = Window.partitionBy(*group).orderBy("bucket")
+    ordered = Window.partitionBy(*group).orderBy("bucket")  # a group has a bounded number of buckets
     cumulated = (levels.withColumn("upto", F.sum("n").over(ordered))
                  .withColumn("total", F.sum("n").over(Window.partitionBy(*group))))
     at = {q: F.min(F.when(100 * F.col("upto") >= q * F.col("total"), F.col("bucket"))) for q in (5, 50, 95)}
-    quantiles = (cumulated.groupBy(*group).agg(F.max("total").alias("docs"), at[5].alias("q5"),
-                                               at[50].alias("q50"), at[95].alias("q95"))
-                 .where((F.col("level") == 0) | (F.col("docs") >= min_docs)))
+    quantiles = cumulated.groupBy(*group).agg(F.max("total").alias("docs"), at[5].alias("q5"),
+                                              at[50].alias("q50"), at[95].alias("q95"))
     least = F.coalesce(*[F.when(F.col("metric") == m, F.lit(x[2])) for m, x in METRICS.items()])
     two_sided = F.col("metric").isin(*TWO_SIDED)
     width = F.greatest(least, spread * F.least(F.col("q50") - F.col("q5"), F.col("q95") - F.col("q50")))
     limits = quantiles.select(
-        *keys, "level", "metric", (F.col("q50") + width).alias("upper"),
+        *keys, "level", "metric", ((F.col("level") == 0) | (F.col("docs") >= min_docs)).alias("own"), (F.col("q50") + width).alias("upper"),
         F.when(two_sided, F.col("q50") - width).otherwise(F.lit(-1)).cast("long").alias("lower"))
     entry = F.struct("lower", "upper")
     return limits.groupBy(*keys, "level").agg(
-        *[F.max(F.when(F.col("metric") == m, entry)).alias(m) for m in METRICS])
+        F.min("own").alias("own"), *[F.max(F.when(F.col("metric") == m, entry)).alias(m) for m in METRICS])
+
+
+def _resolved(found: DataFrame, depth: int) -> DataFrame:
+    """The limits that hold for each full group: its own, or those of the nearest merged group of enough documents."""
+    limits = F.struct(*METRICS).alias("limits")
+    top = found.where("level = 0").select(limits).first()  # one row, none without a document that passes the base rules
+    kept = lambda level: found.where((F.col("level") == level) & F.col("own"))
+    groups = found.where(F.col("level") == depth).select(*[f"g{i}" for i in range(depth)])
+    best = []
+    for level in range(depth, 0, -1):
+        own = kept(level).select(*[F.col(f"g{i}").alias(f"k{i}") for i in range(level)], limits.alias(f"l{level}"))
+        groups = groups.join(own, [F.col(f"g{i}").eqNullSafe(F.col(f"k{i}")) for i in range(level)], "left")
+        groups = groups.drop(*[f"k{i}" for i in range(level)])
+        best.append(F.col(f"l{level}"))
+    if top is not None:
+        best.append(F.struct(*[F.struct(*[F.lit(top["limits"][m][side]).cast("long").alias(side) for side in ("lower", "upper")])
+                               .alias(m) for m in METRICS]))
+    return groups.select(*[f"g{i}" for i in range(depth)], F.coalesce(*best).alias("limits"))
 
 
 def judged(df: DataFrame, groups: tuple[str, ...] = ("lang", "source"), text: str = "text",
            min_docs: int = MIN_DOCS, spread: int = SPREAD) -> tuple[DataFrame, str]:
     """``df`` with one struct column: the counts, ``base_failed`` and ``kept``; and that column's name.
 
-    Null and empty texts have no words and fail the base rules.  Null languages and sources are groups of
+    Every group with a document that passes the base rules has limits, so one join decides.  Null and empty
+    texts have no words and fail the base rules.  Null languages and sources are groups of
     their own.  Repeated rows are judged alike.  An empty table gives an empty table.
     """
     keys = list(groups)
     slim, f = with_features(df.select(*[F.col(f"`{k}`").cast("string").alias(k) for k in keys],
                                       F.col(f"`{text}`").alias("text")), "text")
-    limits = written(thresholds(written(sketches(slim, f, keys), "sketch"), len(keys), min_docs, spread), "limits")
+    found = written(thresholds(written(sketches(slim, f, keys), "sketch"), len(keys), min_docs, spread), "limits")
+    limit, own = fresh(df, "limits"), [fresh(df, f"limits_g{i}") for i in range(len(keys))]
+    resolved = _resolved(found, len(keys)).select(*[F.col(f"g{i}").alias(c) for i, c in enumerate(own)],
+                                                  F.col("limits").alias(limit))
     out, f = with_features(df, text)
-    names = []
-    for level in range(len(keys), -1, -1):
-        name = fresh(out, f"limits{level}")
-        own = limits.where(F.col("level") == level).select(
-            *[F.col(f"g{i}").alias(f"{name}_g{i}") for i in range(level)], F.struct(*METRICS).alias(name))
-        same = [F.col(f"`{keys[i]}`").cast("string").eqNullSafe(F.col(f"{name}_g{i}")) for i in range(level)]
-        # The corpus level is one row at most; the other levels join on their keys.
-        out = out.join(own, same, "left") if same else out.join(F.broadcast(own), F.lit(True), "left")
-        out = out.drop(*[f"{name}_g{i}" for i in range(level)])
-        names.append(name)
-    counts, limit = F.col(f"`{f}`"), F.coalesce(*[F.col(n) for n in names])
+    same = [F.col(f"`{k}`").cast("string").eqNullSafe(F.col(c)) for k, c in zip(keys, own)]
+    out = out.join(written(resolved, "group-limits"), same, "left")
+    counts, limits = F.col(f"`{f}`"), F.col(limit)
     inside = F.lit(True)
     for m in METRICS:
-        inside &= F.coalesce(_value(counts, m).between(limit[m]["lower"], limit[m]["upper"]), F.lit(True))
+        inside &= F.coalesce(_value(counts, m).between(limits[m]["lower"], limits[m]["upper"]), F.lit(True))
     failed = base_failed(counts)
     name = fresh(df, "quality")
     out = out.withColumn(name, F.struct(counts.alias("counts"), failed.alias("base_failed"),
