@@ -8,9 +8,12 @@ plus a quadratic term, as attention stays within a document.
 from __future__ import annotations
 
 import heapq
+import json
 import math
 import os
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,14 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from etalage.llm.common import on_arrow, utf8, written
+from etalage.llm.token_counts import byte_symbols
 
 CAPACITY = 4096
 END = 2
 QUADRATIC = 24_576  # six times a model width of 4096: a piece of this length costs as much in attention as in the rest
 GROUP_PIECES = 4096
 VOCABULARY = "word_bpe_49k.json"
-_CACHED = 500_000
+_CACHED = 1_000_000
 _LONG = 64
+_AT_ONCE = 10_000
+# Below this no character has a decomposed form and each has a lower-case form of one character.
+_PLAIN = re.compile("[\x00-\u012f]*").fullmatch
 
 
 @lru_cache(maxsize=2)
@@ -34,34 +41,86 @@ def encoder(path: str) -> "Encoder":
 
 
 class Encoder:
-    """Ids of texts from a tokenizer that never joins what white space separates; words are remembered."""
+    """Ids of texts from a tokenizer that never joins what white space separates; words are remembered.
+
+    New words of plain letters are cut by the tokenizer's own pattern and go to its merging model at once; all
+    others, with characters whose normal form may differ or a special string, go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            whole = json.load(f)
+        kinds = [n["type"] for n in whole["normalizer"]["normalizers"]]
+        split, bytes_ = whole["pre_tokenizer"]["pretokenizers"]
+        if kinds != ["NFC", "Replace", "Lowercase"] or not split["invert"] or split["behavior"] != "Removed" \
+                or bytes_["type"] != "ByteLevel" or bytes_["add_prefix_space"]:
+            raise ValueError(f"not a tokenizer of lower-case words: {path}")
+        self.cut = regex.compile(split["pattern"]["Regex"]).findall
+        self.merge = self.tokenizer.model.tokenize
+        self.symbols = dict(enumerate(byte_symbols()))  # by byte, as Latin-1 has one character for each
         self.known: dict[bytes, bytes] = {}
-
-    def _new(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            merged = self.merge(part.encode("utf-8").decode("latin-1").translate(self.symbols))
+            ids = array("I", [t.id for t in merged]).tobytes()
+            if len(part) <= _LONG:
+                self.parts[part] = ids
+        return ids
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word."""
+        out: list[bytes | None] = []
+        odd = []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            if b"<|" in w or not (text.isascii() or _PLAIN(text)):
+                odd.append(w)
+                out.append(None)
+            else:
+                text = text.lower()
+                out.append(self._part(text) if text.isalpha() else b"".join(map(self._part, self.cut(text))))
+        if odd:
+            rest = iter(self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False))
+            out = [array("I", next(rest).ids).tobytes() if ids is None else ids for ids in out]
+        return out
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        split = [t.split() for t in texts]
-        if len(self.known) > _CACHED:
+        """The ids of each text as little-endian 32-bit numbers.
+
+        The tokenizer itself puts letters in lower case; doing so first lets fewer words be new.  Texts that may
+        hold one of its special strings are left as they are.
+        """
+        if len(self.known) + len(self.parts) > _CACHED:
             self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        long = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for w, ids in zip(part, self._new(part)):
+            self.parts.clear()
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+        long: dict[bytes, bytes] = {}
+        new = list(missing)
+        for at in range(0, len(new), _AT_ONCE):
+            part = new[at:at + _AT_ONCE]
+            for w, ids in zip(part, self._learn(part)):
                 (self.known if len(w) <= _LONG else long)[w] = ids
-        get = self.known.__getitem__ if not long else lambda w: self.known[w] if w in self.known else long[w]
-        return [b"".join(map(get, words)) for words in split]
+        out = []
+        for words, ids in zip(split, found):
+            if None in ids:
+                ids = [get(w) if i is None else i for w, i in zip(words, ids)]
+                if None in ids:
+                    ids = [long[w] if i is None else i for w, i in zip(words, ids)]
+            out.append(b"".join(ids))
+        return out
 
 
 def _pieces(path: str, capacity: int):
