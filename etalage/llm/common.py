@@ -49,10 +49,10 @@ def per_text(of_text: Callable[[bytes], tuple], fields: dict[str, pa.DataType],
     return on_arrow(batch, schema)
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and fixes the result."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

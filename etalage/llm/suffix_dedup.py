@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from etalage.llm.common import fresh, on_arrow, sha256_hex, utf8, written
 
 LENGTH = 400
-GROUP_ROWS = 1024
+GROUP_ROWS = 16_384  # about 11 MB of surroundings in one task
 _SEGMENT = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,7 +111,7 @@ def _anchor_rows(length: int):
 def _words(strings: list[bytes], size: int) -> np.ndarray:
     """The strings as rows of big-endian 64-bit symbols, filled up with zeros."""
     width = -(-size // 8) * 8
-    return np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), ">u8").reshape(len(strings), -1).astype(np.uint64)
+    return np.frombuffer(b"".join(s[:size].ljust(width, b"\0") for s in strings), ">u8").reshape(len(strings), -1).astype(np.uint64)
 
 
 def _common_bytes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -222,12 +222,14 @@ def _surroundings(length: int):
     def cut(texts: pa.Array, places: pa.Array) -> pa.Array:
         out = []
         for t, own in zip(utf8(texts), places.to_pylist()):
-            out.append([{"key": p["key"], "dig": p["dig"], "before": t[max(0, p["at"] - w + 1):p["at"]][::-1],
-                         "after": t[p["at"]:p["at"] + length]} for p in own])
-        struct = pa.struct([("key", pa.int64()), ("dig", pa.int64()), ("before", pa.binary()), ("after", pa.binary())])
+            out.append([{"key": p["key"], "dig": p["dig"], "large": p["large"],
+                         "before": t[max(0, p["at"] - w + 1):p["at"]][::-1], "after": t[p["at"]:p["at"] + length]}
+                        for p in own])
+        struct = pa.struct([("key", pa.int64()), ("dig", pa.int64()), ("large", pa.bool_()), ("before", pa.binary()),
+                            ("after", pa.binary())])
         return pa.array(out, pa.list_(struct))
 
-    return on_arrow(cut, "array<struct<key: long, dig: long, before: binary, after: binary>>")
+    return on_arrow(cut, "array<struct<key: long, dig: long, large: boolean, before: binary, after: binary>>")
 
 
 def _narrow(low: Column, high: Column, length: int) -> tuple[Column, Column, Column]:
@@ -240,38 +242,42 @@ def _narrow(low: Column, high: Column, length: int) -> tuple[Column, Column, Col
     return (F.xxhash64("key", "low", common), F.xxhash64("name", F.least(lefts, high), whole), fits)
 
 
-def _reaches(entries: DataFrame, length: int, group_rows: int) -> DataFrame:
-    """(key, dig, reach_left, reach_right) of the entries whose surroundings occur once, as far as they repeat."""
+def _with_levels(entries: DataFrame, length: int) -> DataFrame:
+    w, _ = shape(length)
+    return entries.select("key", "dig", "large", "before", "after", F.lit(0).alias("low"), F.lit(w - 1).alias("high"),
+                          F.col("key").alias("name"), F.col("dig").alias("wide"))
+
+
+def _solved_groups(entries: DataFrame, length: int) -> DataFrame:
+    """(key, dig, reach_left, reach_right) from whole groups of bounded size."""
+    return (entries.select("key", "dig", "before", "after", "low", "high", "name", "wide").repartition("name")
+            .sortWithinPartitions("name", "wide").mapInArrow(_solve(length), _SOLVED))
+
+
+def _solved_large(entries: DataFrame, length: int, group_rows: int) -> DataFrame:
+    """The same for groups too large for one task: cut by distance until they are not."""
     w, _ = shape(length)
-    entries = entries.select("key", "dig", "before", "after", F.lit(0).alias("low"), F.lit(w - 1).alias("high"),
-                             F.col("key").alias("name"), F.col("dig").alias("wide"))
     parts, size = [], w
-    while True:
-        entries = written(entries, "entries")
-        groups = entries.select("name", "wide").distinct().groupBy("name").agg(F.count("*").alias("kinds"))
-        large = written(groups.where(F.col("kinds") > group_rows).select("name"), "large-groups")
-        small = entries.join(large, "name", "left_anti")
-        columns = ["key", "dig", "before", "after", "low", "high", "name", "wide"]
-        parts.append(small.select(*columns).repartition("name").sortWithinPartitions("name", "wide")
-                     .mapInArrow(_solve(length), _SOLVED))
-        if size == 1 or not large.head(1):
-            break
+    while size > 1:
         size = -(-size // 2)
         low, high, middle = F.col("low"), F.col("high"), F.col("low") + F.lit(size)
         parts_of = F.when(middle <= high, F.array(F.struct(low.alias("low"), (middle - 1).alias("high")),
                                                   F.struct(middle.alias("low"), high.alias("high")))
                           ).otherwise(F.array(F.struct(low.alias("low"), high.alias("high"))))
-        halves = (entries.join(large, "name", "left_semi").select("key", "dig", "before", "after", F.explode(parts_of).alias("d"))
+        halves = (entries.select("key", "dig", "before", "after", F.explode(parts_of).alias("d"))
                   .select("key", "dig", "before", "after", "d.low", "d.high"))
         name, wide, fits = _narrow(low, high, length)
         halves = written(halves.withColumn("name", name).withColumn("wide", wide).where(fits), "halves")
-        kinds = halves.groupBy("name", "wide").agg(F.count("*").alias("n"))
-        kinds = written(kinds, "kinds")
+        kinds = written(halves.groupBy("name", "wide").agg(F.count("*").alias("n")), "kinds")
         lefts, rights = F.octet_length("before").cast("long"), F.octet_length("after").cast("long")
-        counted = halves.join(kinds, ["name", "wide"])
-        parts.append(counted.where("n > 1").select("key", "dig", F.least(lefts, F.col("high")).alias("reach_left"),
-                                                   F.least(rights, length - F.col("low")).alias("reach_right")))
-        entries = counted
+        parts.append(halves.join(kinds.where("n > 1"), ["name", "wide"]).select(
+            "key", "dig", F.least(lefts, high).alias("reach_left"), F.least(rights, length - low).alias("reach_right")))
+        large = written(kinds.groupBy("name").agg(F.count("*").alias("kinds")).where(F.col("kinds") > group_rows)
+                        .select("name"), "large-groups")
+        parts.append(_solved_groups(halves.join(large, "name", "left_anti"), length))
+        if not large.head(1):
+            break
+        entries = halves.join(large, "name", "left_semi")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -303,15 +309,20 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     classes = written(open_.groupBy("key", "dig").agg(F.count("*").alias("n"), F.min(F.struct(*_ID, "at")).alias("first")),
                       "surroundings")
     mixed = written(classes.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-                    .where("kinds > 1 and least = 1").select("key"), "mixed-groups")
-    wanted = (classes.join(mixed, "key").select("first.*", "key", "dig")
-              .groupBy(*_ID).agg(F.collect_list(F.struct("at", "key", "dig")).alias("places")))
+                    .where("kinds > 1 and least = 1").select("key", "kinds"), "mixed-groups")
     # One row of each document is enough; rows that repeat are cut to one per task before the shuffle.
     one = (slim.where(F.octet_length("text") >= length)
            .withColumn("row", F.row_number().over(Window.partitionBy(*_ID).orderBy("body"))).where("row = 1"))
-    entries = (one.join(written(wanted, "wanted"), _ID)
-               .select(F.explode(_surroundings(length)(F.col("text"), F.col("places"))).alias("e")).select("e.*"))
-    single = _reaches(entries, length, group_rows)
+
+    large = F.col("kinds") > group_rows
+    places = (classes.join(mixed.select("key", large.alias("large")), "key").select("first.*", "key", "dig", "large")
+              .groupBy(*_ID).agg(F.collect_list(F.struct("at", "key", "dig", "large")).alias("places")))
+    found = one.join(written(places, "places"), _ID)
+    found = found.select(F.explode(_surroundings(length)(F.col("text"), F.col("places"))).alias("e")).select("e.*")
+    entries = written(_with_levels(found, length), "entries", compression="zstd")
+    single = written(_solved_groups(entries.where(~F.col("large")), length), "reaches-small")
+    if mixed.where(large).head(1):
+        single = single.unionByName(_solved_large(entries.where("large"), length, group_rows))
     whole = classes.where("n > 1").select("key", "dig", F.lit(-1).cast("long").alias("reach_left"),
                                           F.lit(-1).cast("long").alias("reach_right"))
     once = classes.where("n = 1").select("key", "dig").join(single, ["key", "dig"])
