@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ from etalage.storage import scratch_path
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 26
+FRAMES_PER_TASK = 256
 DATE = "1970-01-01T00:00:00Z"
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -267,8 +269,11 @@ def read_bundles(index: DataFrame) -> DataFrame:
 
     The records of a frame are bounded by its size, so their offsets are gathered in one row.
     """
-    frames = index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("at")).alias("places"))
-    return frames.sortWithinPartitions("bundle", "frame").mapInArrow(_read_frames, _READ)
+    frames = written(index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("at")).alias("places")), "warc-frames")
+    # by number of frames, as the bytes that they stand for are not in these rows
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(frames.count() / FRAMES_PER_TASK))
+    return (frames.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame")
+            .mapInArrow(_read_frames, _READ))
 
 
 def warc_query(spark, folder: str) -> DataFrame:
