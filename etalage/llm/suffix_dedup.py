@@ -16,7 +16,8 @@ its copies hold one at the same place.  So the suffixes that have to be ordered
 
 A group of more than ``group_rows`` entries (a passage that very many documents share) is cut by d into halves,
 whose entries are grouped anew by all bytes that their strings have in common, until groups are small or d is
-one number and the count alone decides.  No group is ever compared pair by pair.
+one number and the count alone decides.  Of entries that are equal in all that a half can see one goes on, so a
+group that is solved has ``group_rows`` rows at most.  No group is ever compared pair by pair.
 """
 
 from __future__ import annotations
@@ -257,27 +258,35 @@ def _solved_groups(entries: DataFrame, length: int) -> DataFrame:
 def _solved_large(entries: DataFrame, length: int, group_rows: int) -> DataFrame:
     """The same for groups too large for one task: cut by distance until they are not."""
     w, _ = shape(length)
-    parts, size = [], w
+    parts, size, entries = [], w, entries.withColumn("known", F.lit(False))
     while size > 1:
         size = -(-size // 2)
         low, high, middle = F.col("low"), F.col("high"), F.col("low") + F.lit(size)
         parts_of = F.when(middle <= high, F.array(F.struct(low.alias("low"), (middle - 1).alias("high")),
                                                   F.struct(middle.alias("low"), high.alias("high")))
                           ).otherwise(F.array(F.struct(low.alias("low"), high.alias("high"))))
-        halves = (entries.select("key", "dig", "before", "after", F.explode(parts_of).alias("d"))
-                  .select("key", "dig", "before", "after", "d.low", "d.high"))
+        halves = (entries.select("key", "dig", "before", "after", "known", F.explode(parts_of).alias("d"))
+                  .select("key", "dig", "before", "after", "known", "d.low", "d.high"))
         name, wide, fits = _narrow(low, high, length)
         halves = written(halves.withColumn("name", name).withColumn("wide", wide).where(fits), "halves")
-        kinds = written(halves.groupBy("name", "wide").agg(F.count("*").alias("n")), "kinds")
+        kinds = written(halves.groupBy("name", "wide").agg(F.count("*").alias("n"), F.min("dig").alias("dig"),
+                                                           F.max("known").alias("known")), "kinds")
         lefts, rights = F.octet_length("before").cast("long"), F.octet_length("after").cast("long")
-        parts.append(halves.join(kinds.where("n > 1"), ["name", "wide"]).select(
-            "key", "dig", F.least(lefts, high).alias("reach_left"), F.least(rights, length - low).alias("reach_right")))
-        large = written(kinds.groupBy("name").agg(F.count("*").alias("kinds")).where(F.col("kinds") > group_rows)
-                        .select("name"), "large-groups")
-        parts.append(_solved_groups(halves.join(large, "name", "left_anti"), length))
-        if not large.head(1):
+        ends = halves.select("name", "wide", "key", "dig", F.least(lefts, high).alias("reach_left"),
+                             F.least(rights, length - low).alias("reach_right"))
+        parts.append(ends.join(kinds.where("n > 1").select("name", "wide"), ["name", "wide"])
+                     .select("key", "dig", "reach_left", "reach_right"))
+        # Entries of one kind have no farther reach in any part of the range; one of them stays, for the others to meet.
+        known = F.col("known") | (F.col("n") > 1)
+        open_ = written(kinds.groupBy("name").agg(F.count("*").alias("kinds"), F.min(known).alias("settled"))
+                        .where("kinds > 1 and not settled").select("name", (F.col("kinds") > group_rows).alias("large")),
+                        "open-groups")
+        kept = kinds.select("name", "wide", "dig", known.alias("known")).join(open_, "name")
+        halves = written(halves.drop("known").join(kept, ["name", "wide", "dig"]), "open-halves")
+        parts.append(_solved_groups(halves.where(~F.col("large")), length))
+        entries = halves.where("large")
+        if not entries.head(1):
             break
-        entries = halves.join(large, "name", "left_semi")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

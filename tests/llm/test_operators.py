@@ -255,6 +255,26 @@ def test_repeated_strings(spark, length, group_rows):
     assert sorted(got) == sorted(r[1:] for r in brute.suffixes(rows, length))
 
 
+def test_groups_of_one_task_are_bounded(spark, monkeypatch):
+    """A passage of many documents, longer than the strings, makes many entries of one kind."""
+    rng, length, group_rows = random.Random(8), 40, 8
+    passage = "".join(rng.choice("abcdefgh") for _ in range(50))
+    rows = [(i, *("".join(rng.choice("ijklmnop") for _ in range(60)) for _ in range(2))) for i in range(90)]
+    rows = [(i, a + (passage if i % 3 else passage[:44]) + b) for i, a, b in rows]
+    solved, sizes = suffix_dedup._solved_groups, []
+
+    def counted(entries, length):
+        sizes.append(max((r["count"] for r in entries.groupBy("name").count().collect()), default=0))
+        return solved(entries, length)
+
+    monkeypatch.setattr(suffix_dedup, "_solved_groups", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out, spans = suffix_dedup.with_repeats(df, length=length, group_rows=group_rows)
+    got = [tuple(r["d"]) for r in out.select(suffix_dedup._digests(length)(F.col("text"), F.col(spans)).alias("d")).collect()]
+    assert sorted(got) == sorted(r[1:] for r in brute.suffixes(rows, length))
+    assert len(sizes) > 1 and max(sizes) <= group_rows
+
+
 @pytest.mark.parametrize("w,k", [(1, 1), (4, 3), (7, 2), (25, 15)])
 def test_anchors_are_the_least_of_some_window(w, k, monkeypatch):
     rng = random.Random(w)
