@@ -1,16 +1,20 @@
-"""Removal of repeated byte strings, by merging the suffix lists of shards.
+"""Removal of repeated byte strings, by sorting the suffixes at anchors in groups of equal beginnings.
+
+No shard orders its suffixes and no Burrows-Wheeler transform is built, so no shards' orders are merged: an order of
+all suffixes, or one merged transform, cannot be split into bounded tasks.  Hash-grouped anchors, sorted within each
+group, stand in for them; the result is the same.
 
 A byte goes if it lies in a string of ``length`` bytes that also starts anywhere else.  Every such string holds an
 *anchor* (a k-gram whose hash is the least in some window of w k-grams) at most w-1 bytes from its start, and
 its copies hold one at the same place.  So the suffixes that have to be ordered are those at anchors:
 
-1. Shards (parts of the corpus) list their anchors with a hash of the bytes that follow.  Suffixes whose beginning
-   occurs once are done; the others form groups, one interval of the merged Burrows-Wheeler transform each.
+1. Every document lists its anchors with a hash of the bytes that follow.  Suffixes whose beginning occurs once are
+   done; the others form groups by that hash, in no order among each other.
    Equal surroundings (up to w-1 bytes before, ``length`` bytes after) are one entry with a count.
-2. The shards' entries of a group are merged by interleave refinement: all start in one interval, and in every round
-   each interval is dealt out, stably, by the next symbol (eight bytes), so what the shards have ordered is not
-   sorted again and settled intervals are left alone.  The round in which two neighbours part gives their common
-   prefix.  The strings before the anchors, the column of the transform, are refined alike, backwards.
+2. The entries of a group arrive unordered and are sorted from scratch in one task, by a radix sort with symbols of
+   eight bytes: in every round each interval of equal beginnings is sorted by the next symbol; settled intervals are
+   left alone.  The round in which two neighbours part gives their common prefix.  The strings before the anchors
+   are sorted alike, backwards.
 3. For each distance d of the start from the anchor, the intervals with common prefixes of ``length`` - d and
    common preceding strings of d bytes are the repeated ones.
 
@@ -107,7 +111,7 @@ def _anchor_rows(length: int):
     return on_arrow(batch, "array<struct<at: long, key: long, dig: long>>")
 
 
-# Merging -------------------------------------------------------------------------------------------------------------
+# Sorting -------------------------------------------------------------------------------------------------------------
 
 def _words(strings: list[bytes], size: int) -> np.ndarray:
     """The strings as rows of big-endian 64-bit symbols, filled up with zeros."""
@@ -125,7 +129,7 @@ def _common_bytes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def interleave(symbols: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The merged order of the entries of each group, and the common prefix of each with the one before it.
+    """The order of the entries of each group, by a radix sort, and the common prefix of each with the one before it.
 
     ``group`` is in ascending order.  -1 stands where a group begins.
     """
