@@ -26,6 +26,7 @@ METRICS = {
 }
 TWO_SIDED = {"word_length"}
 SPREAD = 6
+TAIL = 2
 MIN_DOCS = 200
 _BITS = 10
 
@@ -90,7 +91,9 @@ def thresholds(sketch: DataFrame, depth: int, min_docs: int = MIN_DOCS, spread:
     """Lower and upper limit of every metric, for each group and each merged group above it.
 
     With m the median and s the smaller of its distances to the 5 % and 95 % quantiles (the side with
-    less junk), the limits are m -/+ max(spread * s, least distance of the metric).
+    less junk), the limits are m -/+ max(spread * s, least distance of the metric).  One-sided metrics are 0 in
+    most texts, so only their upper tail tells groups apart: with q the 95 % quantile, the limit is
+    m + max(TAIL * (q - m), least distance).
     """
     keys = [f"g{i}" for i in range(depth)]
     levels = None
@@ -109,7 +112,8 @@ def thresholds(sketch: DataFrame, depth: int, min_docs: int = MIN_DOCS, spread:
                                               at[50].alias("q50"), at[95].alias("q95"))
     least = F.coalesce(*[F.when(F.col("metric") == m, F.lit(x[2])) for m, x in METRICS.items()])
     two_sided = F.col("metric").isin(*TWO_SIDED)
-    width = F.greatest(least, spread * F.least(F.col("q50") - F.col("q5"), F.col("q95") - F.col("q50")))
+    tail = F.col("q95") - F.col("q50")
+    width = F.greatest(least, F.when(two_sided, spread * F.least(F.col("q50") - F.col("q5"), tail)).otherwise(TAIL * tail))
     limits = quantiles.select(
         *keys, "level", "metric", ((F.col("level") == 0) | (F.col("docs") >= min_docs)).alias("own"), (F.col("q50") + width).alias("upper"),
         F.when(two_sided, F.col("q50") - width).otherwise(F.lit(-1)).cast("long").alias("lower"))
