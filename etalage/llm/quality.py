@@ -2,8 +2,9 @@
 
 A sketch is a histogram whose buckets have a fixed relative width (ten significant bits), so sketches of
 any parts of a corpus merge by adding counts, in any order and with the same result.  The thresholds of a
-(language, source) come from its own sketch; where it has fewer than ``min_docs`` documents, from the
-merged sketch of its language, else from that of the corpus.  The documents are then joined with the
+(language, source) come from its own sketch, to which that of its language is added with the weight of
+``min_docs`` documents, and to that the one of the corpus likewise; so one rule holds for groups of every
+size, and the more documents a group has, the more its own decide.  The documents are then joined with the
 thresholds and filtered.
 """
 
@@ -87,8 +88,34 @@ def sketches(df: DataFrame, features_column: str, groups: list[str]) -> DataFram
     return rows.groupBy(*[f"g{i}" for i in range(len(groups))], "metric", "bucket").agg(F.count("*").alias("n"))
 
 
+def _blended(sketch: DataFrame, depth: int, min_docs: int) -> DataFrame:
+    """(keys, metric, bucket, upto, total): cumulated counts of every full group, merged groups mixed in.
+
+    A merged group counts as ``min_docs`` documents, dealt over its buckets in whole numbers, so each group
+    takes in at most that many rows.
+    """
+    keys = [f"g{i}" for i in range(depth)]
+    above = None
+    for level in range(depth + 1):
+        own = sketch.groupBy(*keys[:level], "metric", "bucket").agg(F.sum("n").alias("n"))
+        if above is not None:
+            groups = own.select(*keys[:level], "metric").distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys[:level - 1]] + [F.col("metric") == F.col("of_metric")]
+            taken = groups.join(above, same).select(*keys[:level], "metric", "bucket", F.col("share").alias("n"))
+            own = own.unionByName(taken).groupBy(*keys[:level], "metric", "bucket").agg(F.sum("n").alias("n"))
+        group = Window.partitionBy(*keys[:level], "metric")  # a group has a bounded number of buckets
+        blend = (own.withColumn("upto", F.sum("n").over(group.orderBy("bucket")))
+                 .withColumn("total", F.sum("n").over(group)))
+        if level < depth:
+            share = F.expr(f"(2L * {min_docs} * upto + total) div (2L * total)"
+                           f" - (2L * {min_docs} * (upto - n) + total) div (2L * total)")
+            above = written(blend.select(*[F.col(k).alias(f"of_{k}") for k in keys[:level]], F.col("metric").alias("of_metric"),
+                                         "bucket", share.alias("share")).where("share > 0"), "merged-sketch")
+    return blend
+
+
 def thresholds(sketch: DataFrame, depth: int, min_docs: int = MIN_DOCS, spread: int = SPREAD) -> DataFrame:
-    """Lower and upper limit of every metric, for each group and each merged group above it.
+    """Lower and upper limit of every metric for each group; ``min_docs`` is the weight of the group above it.
 
     With m the median and s the smaller of its distances to the 5 % and 95 % quantiles (the side with
     less junk), the limits are m -/+ max(spread * s, least distance of the metric).  One-sided metrics are 0 in
@@ -96,48 +123,19 @@ def thresholds(sketch: DataFrame, depth: int, min_docs: int = MIN_DOCS, spread:
     m + max(TAIL * (q - m), least distance).
     """
     keys = [f"g{i}" for i in range(depth)]
-    levels = None
-    for level in range(depth, -1, -1):
-        merged = (sketch.groupBy(*keys[:level], "metric", "bucket").agg(F.sum("n").alias("n"))
-                  .withColumn("level", F.lit(level)))
-        for k in keys[level:]:
-            merged = merged.withColumn(k, F.lit(None).cast("string"))
-        levels = merged if levels is None else levels.unionByName(merged)
-    group = [*keys, "level", "metric"]
-    ordered = Window.partitionBy(*group).orderBy("bucket")  # a group has a bounded number of buckets
-    cumulated = (levels.withColumn("upto", F.sum("n").over(ordered))
-                 .withColumn("total", F.sum("n").over(Window.partitionBy(*group))))
+    group = [*keys, "metric"]
+    cumulated = _blended(sketch, depth, min_docs)
     at = {q: F.min(F.when(100 * F.col("upto") >= q * F.col("total"), F.col("bucket"))) for q in (5, 50, 95)}
-    quantiles = cumulated.groupBy(*group).agg(F.max("total").alias("docs"), at[5].alias("q5"),
-                                              at[50].alias("q50"), at[95].alias("q95"))
+    quantiles = cumulated.groupBy(*group).agg(at[5].alias("q5"), at[50].alias("q50"), at[95].alias("q95"))
     least = F.coalesce(*[F.when(F.col("metric") == m, F.lit(x[2])) for m, x in METRICS.items()])
     two_sided = F.col("metric").isin(*TWO_SIDED)
     tail = F.col("q95") - F.col("q50")
     width = F.greatest(least, F.when(two_sided, spread * F.least(F.col("q50") - F.col("q5"), tail)).otherwise(TAIL * tail))
     limits = quantiles.select(
-        *keys, "level", "metric", ((F.col("level") == 0) | (F.col("docs") >= min_docs)).alias("own"), (F.col("q50") + width).alias("upper"),
+        *keys, "metric", (F.col("q50") + width).alias("upper"),
         F.when(two_sided, F.col("q50") - width).otherwise(F.lit(-1)).cast("long").alias("lower"))
     entry = F.struct("lower", "upper")
-    return limits.groupBy(*keys, "level").agg(
-        F.min("own").alias("own"), *[F.max(F.when(F.col("metric") == m, entry)).alias(m) for m in METRICS])
-
-
-def _resolved(found: DataFrame, depth: int) -> DataFrame:
-    """The limits that hold for each full group: its own, or those of the nearest merged group of enough documents."""
-    limits = F.struct(*METRICS).alias("limits")
-    top = found.where("level = 0").select(limits).first()  # one row, none without a document that passes the base rules
-    kept = lambda level: found.where((F.col("level") == level) & F.col("own"))
-    groups = found.where(F.col("level") == depth).select(*[f"g{i}" for i in range(depth)])
-    best = []
-    for level in range(depth, 0, -1):
-        own = kept(level).select(*[F.col(f"g{i}").alias(f"k{i}") for i in range(level)], limits.alias(f"l{level}"))
-        groups = groups.join(own, [F.col(f"g{i}").eqNullSafe(F.col(f"k{i}")) for i in range(level)], "left")
-        groups = groups.drop(*[f"k{i}" for i in range(level)])
-        best.append(F.col(f"l{level}"))
-    if top is not None:
-        best.append(F.struct(*[F.struct(*[F.lit(top["limits"][m][side]).cast("long").alias(side) for side in ("lower", "upper")])
-                               .alias(m) for m in METRICS]))
-    return groups.select(*[f"g{i}" for i in range(depth)], F.coalesce(*best).alias("limits"))
+    return limits.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == m, entry)).alias(m) for m in METRICS])
 
 
 def judged(df: DataFrame, groups: tuple[str, ...] = ("lang", "source"), text: str = "text",
@@ -151,10 +149,9 @@ def judged(df: DataFrame, groups: tuple[str, ...] = ("lang", "source"), text: st
     keys = list(groups)
     slim, f = with_features(df.select(*[F.col(f"`{k}`").cast("string").alias(k) for k in keys],
                                       F.col(f"`{text}`").alias("text")), "text")
-    found = written(thresholds(written(sketches(slim, f, keys), "sketch"), len(keys), min_docs, spread), "limits")
+    found = thresholds(written(sketches(slim, f, keys), "sketch"), len(keys), min_docs, spread)
     limit, own = fresh(df, "limits"), [fresh(df, f"limits_g{i}") for i in range(len(keys))]
-    resolved = _resolved(found, len(keys)).select(*[F.col(f"g{i}").alias(c) for i, c in enumerate(own)],
-                                                  F.col("limits").alias(limit))
+    resolved = found.select(*[F.col(f"g{i}").alias(c) for i, c in enumerate(own)], F.struct(*METRICS).alias(limit))
     out, f = with_features(df, text)
     same = [F.col(f"`{k}`").cast("string").eqNullSafe(F.col(c)) for k, c in zip(keys, own)]
     out = out.join(written(resolved, "group-limits"), same, "left")

@@ -318,3 +318,11 @@ def test_the_upper_tail_of_a_group_raises_its_limits(spark):
     out, name = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), min_docs=50)
     kept = {r["doc_id"]: r[name]["kept"] for r in out.collect()}
     assert sorted(i for i, k in kept.items() if not k) == [2000, 2001]
+
+
+def test_one_document_more_does_not_switch_the_limits(spark):
+    rng = random.Random(4)
+    rows = [(i, _plain(rng, 5), "en", "most") for i in range(400)]
+    rows += [(1000 + i, _plain(rng, 9), "en", "below") for i in range(49)] + [(2000 + i, _plain(rng, 9), "en", "at") for i in range(50)]
+    out, name = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), min_docs=50)
+    assert all(r[name]["kept"] for r in out.collect())
