@@ -7,11 +7,14 @@ all its aliases that no rule names, unless one of them is explicitly allowed.
 
 from __future__ import annotations
 
+import html as html_entities
+import re
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etalage.llm.common import fresh, written
+from etalage.llm.common import fresh, on_arrow, written
 from etalage.llm.components import components
 
 
@@ -59,22 +62,63 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Col
     return F.coalesce(*fitting, none)
 
 
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
+_PARTS = re.compile(r"(?s)([^/?]*)([^?]*)(.*)")
+
+
+def _without_dots(path: str) -> str:
+    """The path without its ``.`` and ``..`` segments."""
+    out: list[str] = []
+    segments = path.split("/")[1:]
+    for i, segment in enumerate(segments):
+        if segment == "..":
+            del out[-1:]
+        if segment not in (".", ".."):
+            out.append(segment)
+        elif i == len(segments) - 1:
+            out.append("")
+    return "/" + "/".join(out)
+
+
+def target_of(page: str, link: str) -> str | None:
+    """Where a link in the page at ``page`` leads, as browsers resolve it; null if not to a place on a host.
+
+    The link is as it stands in the page, with HTML entities; links within the page are null as well.
+    """
+    link = html_entities.unescape(link).strip().split("#", 1)[0]
+    scheme = _SCHEME.match(link)
+    rest = link[scheme.end():] if scheme else link
+    if not link or scheme and not rest.startswith("//"):
+        return None
+    if rest.startswith("//"):
+        host, path, query = _PARTS.fullmatch(rest[2:]).groups()
+    else:
+        host, folder, query = _PARTS.fullmatch(page.partition("://")[2].split("#", 1)[0]).groups()
+        folder = folder or "/"
+        path, mark, query = link.partition("?")
+        query = mark + query
+        path = path if path.startswith("/") else folder[:folder.rindex("/") + 1] + path if path else folder
+    return f"http://{host}{_without_dots(path) if path else path}{query}"
+
+
+def _targets(pages: pa.Array, links: pa.Array) -> pa.Array:
+    return pa.array([target_of(p, x) for p, x in zip(pages.to_pylist(), links.to_pylist())], pa.string())
+
+
+_resolved = on_arrow(_targets, "string")
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(source, target): the addresses that pages name as canonical or send their readers to.
 
-    Relative targets are resolved against the page's address; those within the page are no links.
+    HTML entities are decoded and relative targets resolved against the page's address, as browsers do; targets
+    within the page, and those on no host (``mailto:``), are no links.
     """
     u, h = F.col(f"`{url}`"), F.col(f"`{html}`")
     targets = F.concat(F.regexp_extract_all(h, F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all(h, F.lit(_REFRESH), F.lit(1)))
     found = (pages.where(u.isNotNull() & h.isNotNull()).select(u.alias("u"), targets.alias("ts"))
-             .where(F.size("ts") > 0).select("u", F.explode("ts").alias("t")).where(~F.col("t").startswith("#")))
-    host, path = host_and_path(F.col("u"))
-    found = found.withColumns({"host": host, "folder": F.regexp_extract(path, r"(?s)\A(.*/)", 1), "source": node_of(F.col("u"))})
-    t, base = F.col("t"), F.concat(F.lit("http://"), F.col("host"))
-    absolute = (F.when(t.contains("://"), t).when(t.startswith("//"), F.concat(F.lit("http:"), t))
-                .when(t.startswith("/"), F.concat(base, t))
-                .otherwise(F.concat(base, F.when(F.col("folder") == "", F.lit("/")).otherwise(F.col("folder")), t)))
-    found = found.withColumn("t", absolute)
+             .where(F.size("ts") > 0).select("u", F.explode("ts").alias("t")).where(node_of(F.col("u")).isNotNull()))
+    found = found.select(node_of(F.col("u")).alias("source"), _resolved(F.col("u"), F.col("t")).alias("t"))
     return (found.withColumn("target", node_of(F.col("t"))).select("source", "target")
             .where("source is not null and target is not null"))
 

@@ -196,6 +196,20 @@ def test_blocks_reach_aliases_and_explicit_allows_come_first(spark):
         1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "block"}
 
 
+def test_links_are_resolved_as_browsers_do(spark):
+    page = "http://h.net/a/b/p.html?k=1"
+    links = {"?q=2&amp;r": "h.net/a/b/p.html?q=2&r", "./x": "h.net/a/b/x", "../x/": "h.net/a/x/", "../../../y/..": "h.net/",
+             "/go?u=http://example.com/en/": "h.net/go?u=http://example.com/en/", "https://o.org/a/../b?x=1&amp;y#f": "o.org/b?x=1&y",
+             "//o.org": "o.org", "mailto:a@b.net": None, "#f": None, "&#x2f;k": "h.net/k"}
+    rows = [(i, page, f"<link rel=canonical href='{x}'>") for i, x in enumerate(links)]
+    got = url_filters.page_links(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r["target"] for r in got) == sorted(x for x in links.values() if x)
+    pages = [(1, page, "<link rel=canonical href='/go?u=http://example.com/en/'>"), (2, "http://c.org/x", "<link rel=canonical href='/en/?a=1&amp;b=2'>"),
+             (3, "http://c.org/en/?a=1&b=2", "<link rel=canonical href='http://example.com/en/../en/z'>")]
+    out, name = url_filters.judge(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r["page_id"]: r[name]["verdict"] for r in out.collect()} == {1: "allow", 2: "block", 3: "block"}
+
+
 # sharding ---------------------------------------------------------------------------------------------------------------
 
 def test_shards_of_repeated_rows(spark, docs):
