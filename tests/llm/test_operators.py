@@ -324,16 +324,6 @@ def _plain(rng, width, symbols=0):
                               for i in range(20)) for _ in range(5))
 
 
-def test_the_upper_tail_of_a_group_raises_its_limits(spark):
-    rng = random.Random(3)
-    rows = [(i, _plain(rng, 5, int(i % 10 == 0)), "en", "tables") for i in range(300)]
-    rows += [(1000 + i, _plain(rng, 5), "de", "prose") for i in range(300)]
-    rows += [(2000, _plain(rng, 5, 6), "en", "tables"), (2001, _plain(rng, 5, 1), "de", "prose")]
-    out, name = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), min_docs=50)
-    kept = {r["doc_id"]: r[name]["kept"] for r in out.collect()}
-    assert sorted(i for i, k in kept.items() if not k) == [2000, 2001]
-
-
 def test_one_document_more_does_not_switch_the_limits(spark):
     rng = random.Random(4)
     rows = [(i, _plain(rng, 5), "en", "most") for i in range(400)]
