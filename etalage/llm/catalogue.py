@@ -29,5 +29,19 @@ def queries() -> dict:
     }
 
 
+_LINE_DEDUP = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM texts),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM lines),
+common AS (SELECT line_key AS gone FROM keyed WHERE line_key <> '' GROUP BY line_key
+           HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common ON line_key = gone GROUP BY r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Whole-table SQL; the other operators are compared with plain versions of their contracts in ``tests/llm``."""
+    return {"op4_line_dedup": _LINE_DEDUP}

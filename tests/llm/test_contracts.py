@@ -135,3 +135,10 @@ def test_clashing_columns(spark, odd, tmp_path):
         assert out.columns == docs.columns
         assert out.where("drop <> 'drop' or features <> 'features' or body <> 'body'").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, odd).count() > 0
+
+
+def test_line_dedup_sql(spark, small):
+    """The registered SQL is whole: the query's rows, names and types over the whole table."""
+    from comparison import connect, differences
+    name = "op4_line_dedup"
+    assert differences(QUERIES[name](spark, small), connect(small), entry_points.oracle_sql()[name]) == []
