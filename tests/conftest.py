@@ -40,9 +40,3 @@ def column(spark):
         return [r["r"] for r in sorted(rows, key=lambda r: r["i"])]
 
     return evaluate
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

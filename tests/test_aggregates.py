@@ -10,7 +10,7 @@ from etalage.operators import aggregates as A, marts as M
 from etalage.operators.transactions import time_dimensions
 from etalage.plans import daily
 
-from conftest import rows
+from comparison import rows
 
 D = dt.date
 FACT = ("transaction_id string, date_transaction date, client_id string, produit_id string, magasin_id string, "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from etalage import contracts as K
 from etalage.operators import clients as C, staging as S, transactions as X
 
-from conftest import rows
+from comparison import rows
 
 D = dt.date
 CLIENT = ("client_id string, nom string, prenom string, email string, telephone string, ville string, "

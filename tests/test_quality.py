@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from etalage.functions.rules import Rule
 from etalage.operators import column_tests as CT, quality as Q
 
-from conftest import rows
+from comparison import rows
 
 
 def values(check):

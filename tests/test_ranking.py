@@ -10,7 +10,7 @@ from pyspark.sql import Window, functions as F
 from etalage.operators import quantiles as QT, ranking as R
 from etalage.operators.aggregates import QUINTILES
 
-from conftest import rows
+from comparison import rows
 
 
 def table(spark, n, seed):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from etalage.operators import rows as R
 
-from conftest import rows
+from comparison import rows
 
 
 def plan(df):

@@ -16,7 +16,7 @@ from etalage.sinks import files as SF, warehouse as W
 from etalage.sources import files
 from etalage.storage import materialise, scratch
 
-from conftest import rows
+from comparison import rows
 
 
 def plan(df) -> str:

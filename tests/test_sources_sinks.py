@@ -15,7 +15,7 @@ from etalage.sources import database as DB, feeds, files, increments
 from etalage.storage import materialise, release, scratch_path
 from etalage.streaming import increments as ST
 
-from conftest import rows
+from comparison import rows
 
 CONTRACT = K.TableContract("demo", {"id": "text", "n": "int", "m": "money", "d": "date"})
 
