@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from etalage.llm.contamination import contamination_query
 from etalage.llm.line_dedup import line_dedup_query
+from etalage.llm.merkle import manifest_query
 from etalage.llm.packing import packing_query
 from etalage.llm.quality import quality_query
 from etalage.llm.sharding import sharding_query
 from etalage.llm.simhash import simhash_query
+from etalage.llm.substring_dedup import substring_query
 from etalage.llm.suffix_dedup import suffix_query
 from etalage.llm.token_counts import token_query
 from etalage.llm.url_filters import url_query
 from etalage.llm.warc import warc_query
+from etalage.llm.word_runs import word_runs_query
 
 
 def queries() -> dict:
@@ -26,6 +29,9 @@ def queries() -> dict:
         "op8_suffix_dedup": suffix_query,
         "op9_quality_rules": quality_query,
         "op10_simhash": simhash_query,
+        "op11_word_runs": word_runs_query,
+        "op12_substring_dedup": substring_query,
+        "op13_merkle_manifest": manifest_query,
     }
 
 

@@ -254,3 +254,108 @@ def drop_lines(docs, min_docs=10):
         for line in (text or "").split("\n"):
             where[key(line)].add(doc)
     return [(doc, "\n".join(x for x in text.split("\n") if not key(x) or len(where[key(x)]) < min_docs)) for doc, text in docs]
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def earlier_windows(docs, length=50):
+    """Words of windows that also start in a document with a smaller id go."""
+    least = {}
+    for doc, text in docs:
+        w = words(text)
+        for i in range(len(w) - length + 1 if doc is not None else 0):
+            key = tuple(w[i:i + length])
+            least[key] = min(doc, least.get(key, doc))
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        gone = set()
+        for i in range(len(w) - length + 1 if doc is not None else 0):
+            if least[tuple(w[i:i + length])] < doc:
+                gone.update(range(i, i + length))
+        kept = [x for i, x in enumerate(w) if i not in gone]
+        out.append((doc, len(w), len(gone), sha(" ".join(kept).encode())))
+    return out
+
+
+def word_runs(w, min_length=24, exponent=3):
+    """(start, length, period) of all runs of a list."""
+    _, w = np.unique(np.array(w, object), return_inverse=True)
+    found = {}
+    for q in range(1, len(w) // exponent + 1):
+        same = np.concatenate([[0], (w[q:] == w[:-q]).astype(np.int8), [0]])
+        for i, j in np.flatnonzero(np.diff(same)).reshape(-1, 2).tolist():
+            if j - i + q >= max(min_length, exponent * q):
+                found.setdefault((i, j + q), q)
+    return sorted(((a, b - a, q) for (a, b), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def periodic_texts(docs):
+    """The contract of ``op11``, for texts of moderate length."""
+    from fractions import Fraction
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        h = zlib.crc32(str(doc).encode())
+        g = h // 10
+        if doc is not None and h % 10 == 0 and w:
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+        runs = word_runs(w)
+        best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if runs else None
+        gone = {i for a, n, q in runs for i in range(a + q, a + n)}
+        out.append((doc, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+                    sha("".join(f"{a},{n},{q}\n" for a, n, q in runs).encode()),
+                    sha(" ".join(x for i, x in enumerate(w) if i not in gone).encode())))
+    return out
+
+
+def manifest(rows):
+    """(doc_id, leaf, subroot, root, proof, folded root, verified) of (doc_id, source, lang, n_chars, text) rows."""
+    def h(*parts):
+        return sha("".join(parts).encode())
+
+    def leaf(row, more=0):
+        row = [x if i != 3 or x is None else x + more for i, x in enumerate(row)]
+        return h(*["-" if x is None else f"{len(str(x).encode())}:{x}" for x in row])
+
+    def tree(nodes):
+        """Levels of digests."""
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([h(*levels[-1][i:i + 2]) for i in range(0, len(levels[-1]), 2)])
+        return levels
+
+    def path(levels, i):
+        """(sibling or None, whether it stands on the left) by level."""
+        out = []
+        for level in levels[:-1]:
+            out.append((level[i ^ 1] if i ^ 1 < len(level) else None, i % 2 == 1))
+            i //= 2
+        return out
+
+    def order(x):
+        return (x is not None, x if not isinstance(x, str) else x.encode()) if x is not None else (False, b"")
+
+    by_lang = defaultdict(list)
+    for row in rows:
+        by_lang[row[2]].append(row)
+    langs = sorted(by_lang, key=order)
+    trees = {}
+    for lang in langs:
+        by_lang[lang].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[lang] = tree([leaf(r) for r in by_lang[lang]])
+    top = tree([trees[x][-1][0] for x in langs])
+    out = []
+    for k, lang in enumerate(langs):
+        for i, row in enumerate(by_lang[lang]):
+            steps = path(trees[lang], i) + path(top, k)
+            node = leaf(row, row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0)
+            for sibling, left in steps:
+                node = h(node) if sibling is None else h(sibling, node) if left else h(node, sibling)
+            out.append((row[0], trees[lang][0][i], trees[lang][-1][0], top[-1][0], h(*[s for s, _ in steps if s]), node,
+                        node == top[-1][0]))
+    return out

@@ -119,6 +119,27 @@ def test_simhash(spark, folder):
     assert result(spark, "op10_simhash", folder, 3) == sorted(want, key=key)
 
 
+def test_word_runs(spark, folder):
+    want = brute.periodic_texts(read(spark, folder, "documents", "doc_id", "text"))
+    got = result(spark, "op11_word_runs", folder, 8)
+    assert got == sorted(want, key=key)
+    assert any(r[1] for r in got)
+
+
+def test_substring_dedup(spark, folder):
+    want = brute.earlier_windows(read(spark, folder, "documents", "doc_id", "text"))
+    got = result(spark, "op12_substring_dedup", folder, 4)
+    assert got == sorted(want, key=key)
+    assert any(r[2] for r in got)
+
+
+def test_merkle_manifest(spark, folder):
+    want = brute.manifest(read(spark, folder, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+    got = result(spark, "op13_merkle_manifest", folder, 7)
+    assert got == sorted(want, key=key)
+    assert {r[6] for r in got} == {False, True}
+
+
 @pytest.mark.parametrize("name", [q for q in QUERIES if q.startswith("op") and q[2:3].isdigit() or q == "pipeline"])
 def test_empty_tables(spark, empty, name):
     assert QUERIES[name](spark, empty).count() == 0
