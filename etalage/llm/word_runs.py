@@ -21,11 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etalage.llm.common import on_arrow, utf8
+from etalage.llm.common import fresh, on_arrow, utf8
 
 MIN_LENGTH = 24
 EXPONENT = 3
-_TOGETHER = 1 << 20  # words of short texts that pass the levels together
+_TOGETHER = 1 << 18  # words of short texts that pass the levels together
 _CELLS = 1 << 22
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29))
 
@@ -157,11 +157,11 @@ def word_numbers(texts: list[list[bytes]]) -> list[np.ndarray]:
     return np.split(codes, np.cumsum([len(t) for t in texts])[:-1]) if texts else []
 
 
-def _together(texts: list[bytes]) -> Iterator[list[list[bytes]]]:
+def _together(texts: list[bytes | None]) -> Iterator[list[list[bytes]]]:
     """Words of consecutive texts, about ``_TOGETHER`` at a time."""
     held, size = [], 0
     for t in texts:
-        words = t.split()
+        words = (t or b"").split()
         held.append(words)
         size += len(words)
         if size >= _TOGETHER:
@@ -171,45 +171,35 @@ def _together(texts: list[bytes]) -> Iterator[list[list[bytes]]]:
         yield held
 
 
-_RUN = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
-
+def once(words: list[bytes], own: list[tuple[int, int, int]]) -> list[bytes]:
+    """The words that no run holds after its first period."""
+    kept, at = [], 0
+    for a, b in sorted((start + q, start + n) for start, n, q in own):
+        kept += words[at:a]
+        at = max(at, b)
+    return kept + words[at:]
 
-def _found(min_length: int, exponent: int):
-    def found(texts: pa.Array) -> pa.Array:
-        out = []
-        for words in _together([t or b"" for t in utf8(texts)]):
-            for own in Runs(word_numbers(words), min_length, exponent).of_texts():
-                out.append([{"start": a, "length": n, "period": q} for a, n, q in own])
-        return pa.array(out, _RUN)
 
-    return on_arrow(found, "array<struct<start: long, length: long, period: long>>")
+_RUN = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
 
 def runs(text: Column, min_length: int = MIN_LENGTH, exponent: int = EXPONENT) -> Column:
-    """All runs of a text as an array of (start, length, period) in words, by start and period.
+    """A struct of a text's ``runs``, an array of (start, length, period) by start and period, and its ``kept`` text.
 
-    Words are what stands between ASCII white space.  A run is a stretch of at least ``min_length`` words and
-    ``exponent`` times its smallest period that no neighbouring word extends.  A null or empty text has none.
+    Words are what stands between ASCII white space, and places are counted in words.  A run is a stretch of at
+    least ``min_length`` words and ``exponent`` times its smallest period that no neighbouring word extends.  The
+    kept text has the words that no run holds after its first period, joined by single blanks.  A null text has
+    no runs and keeps an empty text, as an empty one does.
     """
-    return _found(min_length, exponent)(text)
-
-
-def _once(texts: pa.Array, found: pa.Array) -> pa.Array:
-    out = []
-    for t, own in zip(utf8(texts), found.to_pylist()):
-        if t is None:
-            out.append(None)
-            continue
-        words, kept, at = t.split(), [], 0
-        for a, b in sorted((r["start"] + r["period"], r["start"] + r["length"]) for r in own or ()):
-            kept += words[at:a]
-            at = max(at, b)
-        out.append(b" ".join(kept + words[at:]))
-    return pa.array(out, pa.binary()).cast(pa.string())
-
+    def batch(texts: pa.Array) -> pa.Array:
+        found, kept = [], []
+        for words in _together(utf8(texts)):
+            for w, own in zip(words, Runs(word_numbers(words), min_length, exponent).of_texts()):
+                found.append([{"start": a, "length": n, "period": q} for a, n, q in own])
+                kept.append(b" ".join(once(w, own) if own else w))
+        return pa.StructArray.from_arrays([pa.array(found, _RUN), pa.array(kept, pa.binary()).cast(pa.string())], ["runs", "kept"])
 
-collapsed = on_arrow(_once, "string")
-collapsed.__doc__ = "(text, runs) to the words that no run holds after its first period, joined by blanks; null stays null."
+    return on_arrow(batch, "runs array<struct<start: long, length: long, period: long>>, kept string")(text)
 
 
 def collapse_runs(df: DataFrame, text: str = "text", min_length: int = MIN_LENGTH, exponent: int = EXPONENT) -> DataFrame:
@@ -218,14 +208,10 @@ def collapse_runs(df: DataFrame, text: str = "text", min_length: int = MIN_LENGT
     Other texts, null ones among them, and all other columns stay as they are.  Each text is judged alone, so nothing
     is shuffled, and repeated rows give equal results.
     """
-    own = F.col(f"`{text}`")
-    found = runs(own, min_length, exponent)
-    return df.select(*[_cut(own, found).alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])
-
-
-def _cut(text: Column, found: Column) -> Column:
-    return on_arrow(lambda t, r: pa.array([x if not y else z for x, y, z in zip(
-        t.to_pylist(), r.to_pylist(), _once(t, r).to_pylist())], pa.string()), "string")(text, found)
+    own, found = F.col(f"`{text}`"), fresh(df, "found_runs")
+    out = df.withColumn(found, runs(own, min_length, exponent))
+    return out.select(*[F.when(F.size(F.col(found)["runs"]) > 0, F.col(found)["kept"]).otherwise(own).alias(c) if c == text
+                        else F.col(f"`{c}`") for c in df.columns])
 
 
 def longest_first(found: Column) -> Column:
@@ -255,11 +241,9 @@ def word_runs_query(spark, folder: str) -> DataFrame:
     """A document without an id keeps its text as it is."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     check = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    texts = docs.select("doc_id", periodic("doc_id", "text", check).alias("text"))
-    found = texts.select("doc_id", "text", runs(F.col("text")).alias("runs"))
-    own = found.select("doc_id", "runs", longest_first(F.col("runs")).alias("best"),
-                       F.sha2(F.coalesce(collapsed("text", "runs"), F.lit("")), 256).alias("collapsed_sha256"))
+    found = docs.select("doc_id", runs(periodic("doc_id", "text", check)).alias("found"))
+    own = found.select("doc_id", "found.runs", "found.kept", longest_first(F.col("found.runs")).alias("best"))
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
     return own.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                       F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
-                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
