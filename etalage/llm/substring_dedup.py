@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from etalage.llm.common import fresh, on_arrow, sha256_hex, utf8, written
 
 LENGTH = 50
-_TOGETHER = 1 << 20  # words of short texts that are hashed together
+_TOGETHER = 1 << 18  # words of short texts that are hashed together
 _ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
 
 
