@@ -174,8 +174,10 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
 
     same = ["key", "d0", "d1"]
     kinds = written(met.groupBy(*same).agg(F.min("doc").alias("least"), F.max("doc").alias("most")), "surroundings")
-    mixed = kinds.groupBy("key").agg((F.count("*") > 1).alias("mixed"))
-    wanted = kinds.join(mixed, "key").where("least < most or mixed").select(*same, "least", "mixed")
+    # Written, so that the join reads both sides as they are and is split where an anchor has very many surroundings.
+    mixed = written(kinds.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
+                    .select("key", F.lit(True).alias("mixed")), "mixed-anchors")
+    wanted = kinds.join(mixed, "key", "left").where("least < most or mixed").select(*same, "least", "mixed")
     judged = written(met.join(wanted, same), "judged-blocks", compression="zstd")
     whole = judged.where("doc > least").select("doc", "body", "start", "n")
 
