@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from etalage.storage import scratch_path
@@ -56,5 +57,12 @@ def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def open_shared(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a file in the shared folder, for use in tasks."""
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+    return fs.FileSystem.from_uri(uri)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

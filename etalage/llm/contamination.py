@@ -2,19 +2,28 @@
 
 The automaton holds every word sequence of the items.  Documents stream through it word by word; the length
 of the longest suffix that occurs in an item is tracked, and where it reaches a window (13 words, or a whole
-shorter item) those words are hit.  Items are held in blocks of a bounded number of words, one automaton
-each; a document passes all of them in one scan.
+shorter item) those words are hit.
+
+Items are dealt to blocks of a bounded number of words, long ones in pieces that overlap by a window less one
+word.  Tasks build the automaton of each block and write it to the shared folder.  The documents are scanned once:
+each batch passes all blocks, and a task reads them from there one at a time.
 """
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from etalage.llm.common import fresh, on_arrow, utf8
+from etalage.llm.common import fresh, on_arrow, open_shared, utf8, written
+from etalage.llm.sharding import assign_shards
+from etalage.storage import scratch_path
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
@@ -142,50 +151,86 @@ class Automaton:
                     hit[i - longest:i] = True
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int = BLOCK_WORDS,
-           window: int = WINDOW) -> Iterator[Automaton]:
-    """Automata of consecutive items; each holds ``block_words`` words at most, or one item."""
-    items, size = [], 0
-    for r in benchmark.select(F.col(f"`{item_id}`"), F.col(f"`{text}`")).toLocalIterator():
-        words = normalised((r[1] or "").encode("utf-8", "replace")).split()
-        if not words:
-            continue
-        if items and size + len(words) > block_words:
-            yield Automaton(items, window)
-            items, size = [], 0
-        items.append((r[0], words))
-        size += len(words)
-    if items:
-        yield Automaton(items, window)
+# Blocks --------------------------------------------------------------------------------------------------------------
+
+def _pieces(piece_words: int, window: int):
+    """An item as pieces of words; each has the windows that start in its part of the item, whole."""
+    def cut(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in utf8(texts):
+            words = normalised(t or b"").split()
+            starts = range(0, max(1, len(words) - window + 1) if words else 0, piece_words)
+            parts = [words[x:x + piece_words + window - 1] for x in starts]
+            out.append([{"piece": i, "words": b" ".join(part), "n": len(part)} for i, part in enumerate(parts)])
+        piece = pa.struct([("piece", pa.int64()), ("words", pa.binary()), ("n", pa.int64())])
+        return pa.array(out, pa.list_(piece))
 
+    return on_arrow(cut, "array<struct<piece: long, words: binary, n: long>>")
 
-_MATCH = "n_words long, words array<int>, items array<string>"
 
+def _build(folder: str, window: int):
+    """The automaton of one block as a file of its own; a task that is run again writes another."""
+    def build(block: pa.Table) -> pa.Table:
+        items = [(item, words.split()) for item, words in zip(block["item"].to_pylist(), block["words"].to_pylist())]
+        uri = f"{folder}/{uuid.uuid4().hex}.automaton"
+        system, path = open_shared(uri)
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        with system.open_output_stream(path, compression=None) as out:
+            out.write(zstandard.compress(pickle.dumps(Automaton(items, window), pickle.HIGHEST_PROTOCOL)))
+        return pa.table({"uri": pa.array([uri], pa.string())})
 
-def _pass(automaton):
-    """A column function (text, matches so far) to the matches with one more block of items."""
-    def matched(texts: pa.Array, earlier: pa.Array) -> pa.Array:
-        own = automaton.value if automaton is not None else None
-        n, spans, found = [], [], []
-        for t, before in zip(utf8(texts), earlier.to_pylist()):
-            words = normalised(t or b"").split()
-            hit, items = np.zeros(len(words), bool), set()
-            if before is not None:
-                items.update(before["items"])
-                for a, b in zip(before["words"][::2], before["words"][1::2]):
-                    hit[a:b] = True
-            if own is not None:
-                new: set = set()
-                own.hits(words, hit, new)
-                items |= {str(x) for x in new}
-            n.append(len(words))
-            spans.append(np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).astype(np.int32))
-            found.append(sorted(items))
+    return build
+
+
+@lru_cache(maxsize=1)
+def _automaton(uri: str) -> Automaton:
+    """The automaton of a block; a Python worker holds one at a time."""
+    system, path = open_shared(uri)
+    with system.open_input_stream(path, compression=None) as data:
+        return pickle.loads(zstandard.decompress(data.read()))
+
+
+def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS,
+           window: int = WINDOW) -> list[str]:
+    """Files in the shared folder, one per block, with the automata of about ``block_words`` words each.
+
+    Items are cut into pieces, which running word totals deal to blocks; tasks build and write the automata.  The
+    driver has the number of words and the names of the files, and no item or automaton passes it.
+    """
+    item = F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("None"))
+    pieces = written(benchmark.select(item.alias("item"), F.explode(_pieces(block_words, window)(F.col(f"`{text}`"))).alias("p"))
+                     .select("item", "p.*"), "benchmark-pieces")
+    words = pieces.agg(F.sum("n")).first()[0]
+    if not words:
+        return []
+    dealt = assign_shards(pieces, "n", ["item", "piece"], -(-words // block_words))
+    build = _build(scratch_path(benchmark.sparkSession, "automata"), window)
+    made = dealt.select("item", "words", "shard").groupBy("shard").applyInArrow(build, "uri string")
+    return sorted(r["uri"] for r in written(made, "benchmark-blocks").collect())
+
+
+# Documents -----------------------------------------------------------------------------------------------------------
+
+def _match(uris: list[str]):
+    """A text's matches in all blocks; a batch of texts passes one block after the other."""
+    def matched(texts: pa.Array) -> pa.Array:
+        texts = utf8(texts)
+        hits: list = [None] * len(texts)
+        items: list[set[str]] = [set() for _ in texts]
+        n = [len(normalised(t or b"").split()) for t in texts]
+        for uri in uris:
+            block = _automaton(uri)
+            for i, t in enumerate(texts):
+                if n[i] >= block.least:
+                    hits[i] = np.zeros(n[i], bool) if hits[i] is None else hits[i]
+                    block.hits(normalised(t).split(), hits[i], items[i])
+        spans = [() if h is None else np.flatnonzero(np.diff(np.concatenate([[0], h.astype(np.int8), [0]]))).astype(np.int32)
+                 for h in hits]
         return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))],
-            ["n_words", "words", "items"])
+            [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())),
+             pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["n_words", "words", "items"])
 
-    return on_arrow(matched, _MATCH)
+    return on_arrow(matched, "n_words long, words array<int>, items array<string>")
 
 
 def matched(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -193,15 +238,11 @@ def matched(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
     """``df`` with one struct column (n_words, words, items), and that column's name.
 
     ``words`` holds start and end of each run of hit words, in words; ``items`` the ids as sorted strings.
-    Null texts have no words; null and repeated items add nothing; without items nothing is hit.
+    Null texts have no words; null and repeated items add nothing; without items nothing is hit.  A task holds
+    one block at a time, however many there are and however long an item is.
     """
     name = fresh(df, "matches")
-    earlier = F.lit(None).cast(f"struct<n_words: long, words: array<int>, items: array<string>>")
-    out, seen = df, 0
-    for automaton in blocks(benchmark, item_id, item_text, block_words, window):
-        out = out.withColumn(name, _pass(df.sparkSession.sparkContext.broadcast(automaton))(F.col(f"`{text}`"), earlier))
-        earlier, seen = F.col(name), seen + 1
-    return (out if seen else df.withColumn(name, _pass(None)(F.col(f"`{text}`"), earlier))), name
+    return df.withColumn(name, _match(blocks(benchmark, item_id, item_text, block_words, window))(F.col(f"`{text}`"))), name
 
 
 def n_hit(m: Column) -> Column:

@@ -20,10 +20,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from etalage.llm.common import written
+from etalage.llm.common import open_shared, written
 from etalage.storage import scratch_path
 
 FRAME_BYTES = 1 << 18
@@ -35,12 +34,6 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 
 
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return fs.FileSystem.from_uri(uri)
-
-
 # Records -------------------------------------------------------------------------------------------------------------
 
 def digest(payload: bytes) -> str:
@@ -100,7 +93,7 @@ class BundleWriter:
 
     def __init__(self, folder: str, frame_bytes: int = FRAME_BYTES):
         self.uri = f"{folder.rstrip('/')}/{uuid.uuid4().hex}.warc.zst"
-        system, path = _open(self.uri)
+        system, path = open_shared(self.uri)
         self.out = system.open_output_stream(path, compression=None)
         self.compressor = zstandard.ZstdCompressor(level=3, write_checksum=True)
         self.frame_bytes, self.bytes = frame_bytes, 0
@@ -135,7 +128,7 @@ class BundleWriter:
 
 class BundleReader:
     def __init__(self, uri: str):
-        system, path = _open(uri)
+        system, path = open_shared(uri)
         self.file = system.open_input_file(path)
         size = self.file.size()
         frames, flags, magic = struct.unpack("<IBI", self._read(size - 9, 9))
@@ -211,7 +204,7 @@ def write_bundles(pages: DataFrame, folder: str | None = None, page_id: str = "p
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    system, path = _open(folder)
+    system, path = open_shared(folder)
     system.create_dir(path, recursive=True)
     body = F.coalesce(F.encode(F.col(f"`{html}`"), "UTF-8"), F.lit(b""))
     rows = written(pages.select(
