@@ -31,6 +31,14 @@ def errors(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[rule.error() for rule in rules]))
 
 
+def any_broken(rules: Sequence[Rule]) -> Column:
+    """Whether a row breaks a rule, without putting its messages together."""
+    broken = F.lit(False)
+    for rule in rules:
+        broken = broken | F.coalesce(rule.broken, F.lit(True))
+    return broken
+
+
 def validate_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``erreurs`` (messages) and ``est_valide``."""
     return df.withColumn("erreurs", errors(rules)).withColumn("est_valide", F.size("erreurs") == 0)

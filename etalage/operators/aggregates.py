@@ -12,7 +12,7 @@ from etalage import contracts as K
 from etalage.functions.numbers import exact_mean, percent_of, ratio, round_half_even
 from etalage.operators.quantiles import quantile_score, quantiles
 from etalage.operators.ranking import global_rank
-from etalage.operators.rows import top_k, with_distinct_counts
+from etalage.operators.rows import read_often, top_k, with_distinct_counts
 from etalage.storage import materialise
 
 # The quintile edges, as products of the step, which is how evenly spaced fractions are computed.
@@ -57,14 +57,16 @@ def monthly_revenue(tx: DataFrame) -> DataFrame:
     )
 
 
-def product_sales(tx: DataFrame, products: DataFrame | None = None) -> DataFrame:
+def product_sales(tx: DataFrame, products: DataFrame | None = None, written: bool = False) -> DataFrame:
     """Sales per product, with name and category where the catalogue is given.
 
     Rows are grouped by the product alone; the catalogue is joined to the result.  Products that it lacks, or has
-    no name or category for, are left out then.  Pass a written fact: it is read three times.
+    no name or category for, are left out then.  The fact is read three times, so the columns in use are
+    written first, unless ``written`` says that the fact is a written table.
     """
     keys = ["produit_id"] if products is not None else _present(tx, "produit_id", "nom_produit", "categorie_produit")
-    known = tx.na.drop(subset=keys)
+    known = read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf", "prix_unitaire_xaf",
+                                                 "magasin_id", "client_id"], written)
     out = known.groupBy(*keys).agg(
         F.count("transaction_id").alias("nb_ventes"),
         F.sum("quantite").alias("quantite_totale"),
@@ -79,13 +81,13 @@ def product_sales(tx: DataFrame, products: DataFrame | None = None) -> DataFrame
     return labels.join(out, "produit_id")
 
 
-def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None = None) -> DataFrame:
+def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None = None, written: bool = False) -> DataFrame:
     """Best sellers with rank and share among all products.
 
     The rank of a row depends on the rows above it only, so it is taken over the ``top_n`` rows; the
     share divides by the total over all products.
     """
-    sales = materialise(product_sales(tx, products), "sales")
+    sales = materialise(product_sales(tx, products, written), "sales")
     total = sales.agg(F.sum("ca_total_xaf").alias("total")).scalar()
     best = top_k(sales, top_n, F.desc("ca_total_xaf"), F.asc("produit_id"))
     by_revenue = Window.orderBy(F.desc("ca_total_xaf"))  # over top_n rows
@@ -94,13 +96,15 @@ def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None
                              "part_ca_pct": round_half_even(share, 2)})
 
 
-def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS) -> DataFrame:
+def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS, written: bool = False) -> DataFrame:
     """Sales per store with its revenue rank; the monthly mean divides by a fixed number of months.
 
-    Pass a written fact: it is read three times.
+    The fact is read three times, so the columns in use are written first, unless ``written`` says that it is
+    a written table.
     """
     keys = _present(tx, "magasin_id", "nom_magasin", "ville_magasin")
-    known = tx.na.drop(subset=keys)
+    known = read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf", "client_id", "produit_id"],
+                       written)
     out = known.groupBy(*keys).agg(
         F.count("transaction_id").alias("nb_transactions"),
         _revenue().alias("ca_total_xaf"),
@@ -177,8 +181,8 @@ def all_aggregates(tx: DataFrame, products: DataFrame | None = None) -> dict[str
     """The four aggregate tables.  Pass a written table: each of them reads only the columns it needs."""
     return {
         "ca_mensuel": monthly_revenue(tx),
-        "top_produits": top_products(tx, products=products),
-        "performance_magasins": store_performance(tx),
+        "top_produits": top_products(tx, products=products, written=True),
+        "performance_magasins": store_performance(tx, written=True),
         "segmentation_rfm": rfm_quantile(tx),
     }
 

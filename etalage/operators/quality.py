@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from etalage import contracts as K
 from etalage.functions import dates
 from etalage.functions.numbers import ratio, round_half_even, safe_rate
-from etalage.functions.rules import Rule, errors, validate_rows
+from etalage.functions.rules import Rule, any_broken, validate_rows
 from etalage.operators.quantiles import quantiles
 from etalage.operators.rows import duplicate_count, duplicate_rows, key_set_difference, union_aligned
 from etalage.storage import materialise
@@ -27,7 +27,7 @@ def _long(one_row: DataFrame, check: str, metrics: Sequence[tuple[str, Column, f
 
 def _profile_counts(df: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
     """One row from one pass: rows, filled values per column and invalid rows."""
-    invalid = F.count_if(F.size(errors(rules)) > 0) if rules else F.lit(0).cast("long")
+    invalid = F.count_if(any_broken(rules)) if rules else F.lit(0).cast("long")
     return df.agg(F.count(F.lit(1)).alias("total"), invalid.alias("invalid"),
                   *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)])
 

@@ -7,7 +7,7 @@ the partitions' row counts then give every partition its offset.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -41,19 +41,46 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rang"
                   .drop("__part", "__mid", "__offset"))
 
 
+def running_counts(df: DataFrame, value: Column, order: Callable[[Column], Column], name: str = "value") -> DataFrame:
+    """(value, n, before): every distinct value, how many rows have it, and how many have a value before it.
+
+    Equal values are counted first, so that no value is hot afterwards; the values alone are range-partitioned
+    and added up inside each partition, and the partitions' totals give every partition its offset.
+    """
+    counts = materialise(df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("n")), "values")
+    part = F.shiftright(F.monotonically_increasing_id(), _ROW_BITS)
+    placed = materialise(counts.repartitionByRange(order(F.col(name))).withColumn("__part", part), "ranges")
+    totals = placed.groupBy("__part").agg(F.sum("n").alias("__n"))
+    # one row per range partition, so this window and the broadcast are bounded by their number
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy("__part").orderBy(order(F.col(name))).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("__offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return placed.join(F.broadcast(offsets), "__part").select(name, "n", before.alias("before"))
+
+
 def global_rank(df: DataFrame, value: str, key: str, name: str = "rang", ascending: bool = False,
                 written: bool = False) -> DataFrame:
-    """Add the minimum rank of ``value``: equal values share the position of the first of them.
+    """Add the minimum rank of ``value``: equal values share the position of the first of them, nulls come last.
+
+    ``key`` names the rows; equal values need no order among themselves, so the result does not depend on it.
+    """
+    return global_ranks(df if written else materialise(df, "unranked"), {name: value}, ascending)
+
+
+def global_ranks(written: DataFrame, ranks: Mapping[str, str], ascending: bool = False) -> DataFrame:
+    """Add minimum ranks to a written table: {new name: value}.
 
-    ``key`` is unique; it only serves to split equal values over partitions.  The ranks come from one
-    row per distinct value, so in the closing join only the left side can hold a hot value, and that
-    is the side which adaptive execution splits.
+    Only the distinct values are sorted; rows join their value's rank where they are.  In that join only the left
+    side can hold a hot value, and that is the side which adaptive execution splits.
     """
     direction = F.asc_nulls_last if ascending else F.desc_nulls_last
-    stored = df if written else materialise(df, "unranked")
-    rows = global_row_number(stored, [direction(value), F.asc(key)], "__row", True)
-    first = rows.groupBy(F.col(value).alias("__value")).agg(F.min("__row").alias(name))
-    return rows.join(first, F.col(value).eqNullSafe(F.col("__value")), "left").drop("__value", "__row")
+    out = written
+    for name, value in ranks.items():
+        places = running_counts(written.select(value), F.col(value), direction, "__value")
+        first = places.select("__value", (F.col("before") + 1).alias(name))
+        out = out.join(first, F.col(value).eqNullSafe(F.col("__value")), "left").drop("__value")
+    return out
 
 
 def ntile_edges(df: DataFrame, tiles: int, value: str, key: str, written: bool = False) -> DataFrame:

@@ -73,6 +73,12 @@ def with_distinct_counts(grouped: DataFrame, df: DataFrame, keys: Sequence[str],
     return grouped
 
 
+def read_often(df: DataFrame, columns: Sequence[str], written: bool = False) -> DataFrame:
+    """Those of the columns that ``df`` has, written once for several reads, unless ``df`` is a written table."""
+    own = df.select(*[c for c in dict.fromkeys(columns) if c in df.columns])
+    return own if written else materialise(own, "read-often")
+
+
 def column_slimming(df: DataFrame, wanted: Sequence[str], renames: dict[str, str] | None = None) -> DataFrame:
     """Keep those of the wanted columns that exist, renamed where asked."""
     renames = renames or {}

@@ -133,8 +133,8 @@ def models(sources: Mapping[str, DataFrame], as_of: str | dt.date, lo: float = K
         "stg_produits": products,
         "stg_magasins": stores,
         "mart_ventes": sales_mart(tx, clients, products, stores),
-        "mart_clients": client_mart(clients, tx, as_of),
-        "mart_produits": product_mart(products, tx),
+        "mart_clients": client_mart(clients, tx, as_of, written=True),
+        "mart_produits": product_mart(products, tx, written=True),
     }
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from etalage.operators import quantiles as QT, ranking as R
+from etalage.operators import quantiles as QT, ranking as R, rows as RW
 from etalage.operators.aggregates import QUINTILES
 
 from comparison import rows
@@ -40,6 +40,30 @@ def test_row_number_and_rank(spark, partitions):
     assert rows(R.global_rank(df, "v", "k", "r")) == rows(want)
 
 
+def test_several_ranks_and_nulls(spark, partitions):
+    data = [(i, None if i % 11 == 0 else i % 7, i % 3) for i in range(120)]
+    df = spark.createDataFrame(data, "k long, a long, b long").repartition(4)
+    ranks = {"ra": F.rank().over(Window.orderBy(F.desc_nulls_last("a"))).cast("long"),
+             "rb": F.rank().over(Window.orderBy(F.desc("b"))).cast("long")}
+    assert rows(R.global_ranks(df, {"ra": "a", "rb": "b"})) == rows(df.withColumns(ranks))
+    up = df.withColumn("ra", F.rank().over(Window.orderBy(F.asc_nulls_last("a"))).cast("long"))
+    assert rows(R.global_rank(df, "a", "k", "ra", ascending=True)) == rows(up)
+
+
+def test_running_counts(spark, partitions):
+    df = table(spark, 300, partitions)
+    n = {r["v"]: r["count"] for r in df.groupBy("v").count().collect()}
+    got = rows(R.running_counts(df, F.col("v"), F.asc))
+    assert got == sorted(((v, n[v], sum(n[w] for w in n if w < v)) for v in n), key=lambda t: tuple((False, str(x)) for x in t))
+
+
+def test_columns_are_written_for_several_reads(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "k int, t string, v double")
+    narrow = RW.read_often(df, ["v", "k", "other", "v"])
+    assert narrow.columns == ["v", "k"] and "Scan parquet" in narrow._jdf.queryExecution().executedPlan().toString()
+    assert RW.read_often(df, ["t"], written=True).columns == ["t"]
+
+
 @pytest.mark.parametrize("n", [3, 5, 402])
 def test_tiles(spark, n):
     df = table(spark, n, n)
