@@ -11,7 +11,7 @@ from etalage import contracts as K
 from etalage.functions import dates, numbers, rules, text
 from etalage.operators import aggregates as A, clients as C, column_tests as CT, joins as J, marts as M
 from etalage.operators import quality as Q, quantiles as QT, ranking as R, rows, staging as S, transactions as X
-from etalage.plans import daily
+from etalage.plans import daily, stages
 from etalage.plans.star import AMOUNT_MAX, AMOUNT_MIN, AS_OF, TX_ORDER, Star
 from etalage.sinks import files as SF, warehouse as W
 from etalage.sources import database as DB, feeds, files, increments
@@ -847,3 +847,13 @@ def daily_run(star: Star) -> DataFrame:
     sources = star.sources() | {"clients": star.untidy_clients(), "transactions": star.faulty_transactions()}
     _, report = daily.run(sources, root, "nuit", AS_OF, order, AMOUNT_MIN, AMOUNT_MAX)
     return report.select("table_cible", "nb_lignes_inserees", "nb_lignes_rejetees", "statut")
+
+
+@query
+def staged_run(star: Star) -> DataFrame:
+    """The run in stages, stopped after the models and taken up again: rows per stage and table."""
+    root = scratch_path(star.spark, "warehouse")
+    sources = star.sources() | {"clients": star.untidy_clients(), "transactions": star.faulty_transactions()}
+    run = stages.StagedRun(star.spark, root, "nuit", AS_OF, daily.ArrivalOrder(["rang_arrivee"], TX_ORDER), AMOUNT_MIN, AMOUNT_MAX)
+    run.run(sources, [stages.EXTRACT, stages.TRANSFORM, stages.MODELS])
+    return run.run({}).select("etape", "nom_table", "nb_lignes", "statut")

@@ -876,8 +876,7 @@ CTES["faulty_groups"] = """
 SELECT DISTINCT date_trunc('month', t.date_transaction), m.magasin_id, p.categorie FROM staged_faulty t
 LEFT JOIN stg_st m ON m.magasin_id = t.magasin_id LEFT JOIN stg_pr p ON p.produit_id = t.produit_id"""
 REJECTED = "(SELECT count(*) FROM routed WHERE motif_rejet IS NOT NULL)"
-Q["daily_run"] = union(*[f"SELECT '{table}' AS table_cible, {big(n)} AS nb_lignes_inserees, "
-                         f"{big(REJECTED if table == 'staging.transactions' else '0')} AS nb_lignes_rejetees, {DONE}" for table, n in {
+RUN_ROWS = {
     "staging.clients": "(SELECT count(*) FROM cleaned_clients)", "staging.transactions": "(SELECT count(*) FROM valid)",
     "staging.produits": "(SELECT count(*) FROM part)", "staging.magasins": "(SELECT count(*) FROM supplier)",
     "marts.ca_mensuel": "(SELECT count(*) FROM (SELECT DISTINCT strftime(date_transaction, '%Y-%m'), magasin_id FROM valid))",
@@ -885,7 +884,25 @@ Q["daily_run"] = union(*[f"SELECT '{table}' AS table_cible, {big(n)} AS nb_ligne
     "marts.performance_magasins": "(SELECT count(DISTINCT magasin_id) FROM valid)",
     "marts.segmentation_rfm": "(SELECT count(DISTINCT client_id) FROM valid)",
     "marts.mart_ventes": "(SELECT count(*) FROM faulty_groups)", "marts.mart_produits": "(SELECT count(*) FROM part)",
-    "marts.mart_clients": "(SELECT count(DISTINCT client_id) FROM untidy WHERE client_id <> '' AND nom <> '')"}.items()])
+    "marts.mart_clients": "(SELECT count(DISTINCT client_id) FROM untidy WHERE client_id <> '' AND nom <> '')"}
+Q["daily_run"] = union(*[f"SELECT '{table}' AS table_cible, {big(n)} AS nb_lignes_inserees, "
+                         f"{big(REJECTED if table == 'staging.transactions' else '0')} AS nb_lignes_rejetees, {DONE}" for table, n in RUN_ROWS.items()])
+STAGE_ROWS = {
+    ("extract", "clients"): "(SELECT count(*) FROM customer)", ("extract", "transactions"): "(SELECT count(*) FROM lineitem)",
+    ("extract", "produits"): "(SELECT count(*) FROM part)", ("extract", "magasins"): "(SELECT count(*) FROM supplier)",
+    **{("transform", table.split(".")[1]): n for table, n in RUN_ROWS.items() if table.split(".")[1] not in
+       ("mart_ventes", "mart_clients", "mart_produits")},
+    ("transform", "transactions_rejetees"): REJECTED,
+    ("models", "stg_clients"): f"(SELECT count(*) FROM ({Q['stg_clients']}))", ("models", "stg_transactions"): "(SELECT count(*) FROM staged_faulty)",
+    ("models", "stg_produits"): "(SELECT count(*) FROM part)", ("models", "stg_magasins"): f"(SELECT count(*) FROM ({Q['stg_stores']}))",
+    **{("models", table.split(".")[1]): n for table, n in RUN_ROWS.items() if table.startswith("marts.mart_")},
+    ("quality", "controles"): "4 + 2 + 4 + 10 + 1",  # critical columns, duplicates, amounts, three keys, volume
+}
+Q["staged_run"] = union(
+    *[f"SELECT '{stage}' AS etape, '{table}' AS nom_table, {big(n)} AS nb_lignes, CAST(NULL AS VARCHAR) AS statut"
+      for (stage, table), n in STAGE_ROWS.items()],
+    *[f"SELECT '{table.split('.')[0]}' AS etape, '{table.split('.')[1]}' AS nom_table, {big(n)} AS nb_lignes, {DONE}"
+      for table, n in RUN_ROWS.items()])
 
 
 def oracle_sql() -> dict[str, str]:
