@@ -88,3 +88,11 @@ def test_no_step_pairs_the_members_of_a_group(spark):
     found = S.repeats(df)
     assert found.count() == 399
     assert found.select(F.explode("spans")).count() <= 399 * 64
+
+
+def test_whole_table_sql(spark, small):
+    """The registered SQL gives the query's rows, names and types over the whole table."""
+    import __spark_entry__ as entry_points
+    from comparison import connect, differences
+    name = "op12_substring_dedup"
+    assert differences(entry_points.queries()[name](spark, small), connect(small), entry_points.oracle_sql()[name]) == []
