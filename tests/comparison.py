@@ -9,7 +9,7 @@ import os
 import duckdb
 from pyspark.sql import DataFrame
 
-SPARK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "string": "VARCHAR"}
+SPARK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "string": "VARCHAR"}
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
