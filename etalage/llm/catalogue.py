@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from etalage.llm import contract_sql
 from etalage.llm.contamination import contamination_query
 from etalage.llm.line_dedup import line_dedup_query
 from etalage.llm.merkle import manifest_query
@@ -35,34 +36,14 @@ def queries() -> dict:
     }
 
 
-_LINE_DEDUP = """
-WITH texts AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-lines AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM texts),
-keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM lines),
-common AS (SELECT line_key AS gone FROM keyed WHERE line_key <> '' GROUP BY line_key
-           HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 10)
-SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
-FROM keyed LEFT JOIN common ON line_key = gone GROUP BY r
-"""
-
-_SUBSTRINGS = r"""
-WITH texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-words AS (SELECT r, doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM texts),
-windows AS (SELECT r, doc_id, pos, sha256(array_to_string(w[pos + 1:pos + 50], ' ')) AS h
-            FROM (SELECT r, doc_id, w, unnest(range(len(w) - 49)) AS pos FROM texts WHERE len(w) >= 50 AND doc_id IS NOT NULL)),
-least AS (SELECT h AS same, min(doc_id) AS first FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
-gone AS (SELECT r AS gr, pos AS gpos FROM windows JOIN least ON h = same WHERE doc_id > first),
-judged AS (SELECT r, word, pos, max(gpos) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS out
-           FROM words LEFT JOIN gone ON gr = r AND gpos = pos),
-kept AS (SELECT r AS kr, count(*) AS n, count(*) FILTER (WHERE out) AS n_out,
-                string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT out) AS body FROM judged GROUP BY r)
-SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(n_out, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
-FROM texts LEFT JOIN kept ON kr = r
-"""
-
-
 def oracle_sql() -> dict[str, str]:
     """Whole-table SQL; the other operators are compared with plain versions of their contracts in ``tests/llm``."""
-    return {"op4_line_dedup": _LINE_DEDUP, "op12_substring_dedup": _SUBSTRINGS}
+    return {
+        "op2_url_filters": contract_sql.URL_RULES,
+        "op3_decontamination": contract_sql.CONTAMINATION,
+        "op4_line_dedup": contract_sql.LINE_DEDUP,
+        "op5_sharding": contract_sql.SHARDING,
+        "op7_warc": contract_sql.ARCHIVE,
+        "op12_substring_dedup": contract_sql.SUBSTRINGS,
+        "op13_merkle_manifest": contract_sql.MANIFEST,
+    }
