@@ -148,3 +148,48 @@ kept AS (SELECT r AS kr, count(*) AS n, count(*) FILTER (WHERE out) AS n_out,
 SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(n_out, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM texts LEFT JOIN kept ON kr = r
 """
+
+# Bytes as hex digits, two for each.
+REPEATED_BYTES = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x,
+                     octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents),
+parts AS (SELECT r, n_bytes, base, substr(x, 2 * base + 1, 1598) AS part
+          FROM (SELECT r, n_bytes, x, unnest(range(0, n_bytes - 399, 400)) AS base FROM docs WHERE n_bytes >= 400)),
+windows AS (SELECT r, base + i AS pos, md5_number(substr(part, 2 * i + 1, 800)) AS h
+            FROM (SELECT r, base, part, unnest(range(least(400, n_bytes - 399 - base))) AS i FROM parts)),
+gone AS (SELECT r, pos FROM windows JOIN (SELECT h AS same FROM windows GROUP BY h HAVING count(*) > 1) ON h = same),
+breaks AS (SELECT r, pos, coalesce(pos > lag(pos) OVER (PARTITION BY r ORDER BY pos) + 400, true) AS first FROM gone),
+numbered AS (SELECT r, pos, count(*) FILTER (WHERE first) OVER (PARTITION BY r ORDER BY pos) AS span FROM breaks),
+spans AS (SELECT r, min(pos) AS a, max(pos) + 400 AS b FROM numbered GROUP BY r, span),
+gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM spans),
+cut AS (SELECT r, count(*) AS spans, CAST(sum(b - a) AS BIGINT) AS removed, max(b) AS last,
+               string_agg(substr(x, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head FROM gaps JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (r)
+"""
+
+# A stretch that keeps a period p is an island of places whose word stands p words later again; of the periods of one
+# stretch of three periods or more the least divides the others, so it has the same ends.
+WORD_RUNS = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+texts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                 {_crc32("encode(CAST(doc_id AS VARCHAR))")} AS h FROM documents, crc_table),
+placed AS (SELECT *, (h // 10) % nullif(len(w), 0) AS a FROM texts),
+turned AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN 1 + (len(w) - a) // (3 + (h // 10) % 8) END AS p FROM placed),
+numbered AS (SELECT r, len(w) AS n, unnest(range(len(w))) AS pos, a, p, w FROM turned),
+words AS (SELECT r, n, pos, w[1 + CASE WHEN p IS NULL OR pos < a THEN pos ELSE a + (pos - a) % p END] AS word FROM numbered),
+pairs AS (SELECT x.r, x.pos, y.pos - x.pos AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word
+          WHERE y.pos > x.pos AND 3 * (y.pos - x.pos) <= x.n),
+islands AS (SELECT r, q, min(pos) AS start, count(*) + q AS length
+            FROM (SELECT *, pos - row_number() OVER (PARTITION BY r, q ORDER BY pos) AS island FROM pairs) GROUP BY r, q, island),
+runs AS (SELECT r, start, length, min(q) AS period FROM islands WHERE length >= greatest(24, 3 * q) GROUP BY r, start, length),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+           FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS pos FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY pos) AS body FROM words ANTI JOIN gone USING (r, pos) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM texts LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
