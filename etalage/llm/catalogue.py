@@ -45,6 +45,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_sharding": contract_sql.SHARDING,
         "op7_warc": contract_sql.ARCHIVE,
         "op8_suffix_dedup": contract_sql.REPEATED_BYTES,
+        "op9_quality_rules": contract_sql.QUALITY,
         "op11_word_runs": contract_sql.WORD_RUNS,
         "op12_substring_dedup": contract_sql.SUBSTRINGS,
         "op13_merkle_manifest": contract_sql.MANIFEST,

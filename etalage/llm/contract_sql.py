@@ -193,3 +193,54 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * leng
        sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
 FROM texts LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
 """
+
+
+def _level(name: str, keys: str, above: str | None) -> str:
+    """Cumulated counts of the groups by ``keys``; those of ``above`` come in with the weight of 200 documents."""
+    own = f"SELECT {keys}metric, bucket, count(*) AS n FROM measured GROUP BY {keys}metric, bucket"
+    if above is not None:
+        taken = f"SELECT DISTINCT {keys}metric FROM measured"
+        own = f"{own} UNION ALL SELECT {keys}metric, bucket, share FROM ({taken}) JOIN {above} USING ({_above_keys(keys)}metric) WHERE share > 0"
+    group = f"PARTITION BY {keys}metric"
+    return f"""
+{name} AS (SELECT *, (400 * upto + total) // (2 * total) - (400 * (upto - n) + total) // (2 * total) AS share
+           FROM (SELECT *, sum(n) OVER ({group} ORDER BY bucket) AS upto, sum(n) OVER ({group}) AS total
+                 FROM (SELECT {keys}metric, bucket, CAST(sum(n) AS BIGINT) AS n FROM ({own}) GROUP BY {keys}metric, bucket)))"""
+
+
+def _above_keys(keys: str) -> str:
+    """``"a, b, "`` without its last key."""
+    return "".join(f"{k}, " for k in keys.split(", ")[:-2])
+
+
+# Base columns and the operator's limits, both in whole numbers: a metric is in thousandths, its bucket has ten bits.
+QUALITY = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS a, coalesce('=' || source, '') AS b, coalesce(text, '') AS t,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, pos, array_to_string(w[pos + 1:pos + 3], ' ') AS three
+            FROM (SELECT r, w, unnest(range(len(w) - 2)) AS pos FROM docs WHERE len(w) > 3)),
+again AS (SELECT r, pos FROM windows SEMI JOIN (SELECT r, three FROM windows GROUP BY r, three HAVING count(*) > 1) USING (r, three)),
+repeated AS (SELECT r, count(DISTINCT pos) AS n_again FROM (SELECT r, unnest([pos, pos + 1, pos + 2]) AS pos FROM again) GROUP BY r),
+lines AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+counted AS (SELECT r, doc_id, a, b, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                   length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+                   coalesce(n_again, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+            FROM docs LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
+valued AS (SELECT r, a, b, unnest(['word_length', 'symbol_share', 'dup_line_share', 'repeat_share']) AS metric,
+                  unnest([1000 * word_chars // n_words, 1000 * n_symbols // n_words,
+                          1000 * n_dup_lines // n_lines, 1000 * n_repeat_words // n_words]) AS v FROM based WHERE NOT base_failed),
+measured AS (SELECT *, v - v % (CAST(1 AS BIGINT) << greatest(0, length(bin(v)) - 10)) AS bucket FROM valued),
+{_level("corpus", "", None).strip()},
+{_level("langs", "a, ", "corpus").strip()},
+{_level("sources", "a, b, ", "langs").strip()},
+quantiles AS (SELECT a, b, metric, min(bucket) FILTER (WHERE 100 * upto >= 5 * total) AS q5, min(bucket) FILTER (WHERE 100 * upto >= 50 * total) AS q50,
+                     min(bucket) FILTER (WHERE 100 * upto >= 95 * total) AS q95 FROM sources GROUP BY a, b, metric),
+least (metric, floor) AS (VALUES ('word_length', 2000), ('symbol_share', 100), ('dup_line_share', 500), ('repeat_share', 450)),
+limits AS (SELECT a, b, metric, q50, greatest(floor, 6 * least(q50 - q5, q95 - q50)) AS width FROM quantiles JOIN least USING (metric)),
+outside AS (SELECT DISTINCT r FROM valued JOIN limits USING (a, b, metric)
+            WHERE v > q50 + width OR metric = 'word_length' AND v < q50 - width)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND outside.r IS NULL AS kept FROM based LEFT JOIN outside USING (r)
+"""
