@@ -135,7 +135,7 @@ def current_pieces(spark: SparkSession, root: str, table: str) -> list[str]:
     from are still there, so of two rewrites of the same pieces all readers see the same one.  The list is as
     long as the loads since the last rewrite and the number of buckets.
     """
-    journal = read_journal(spark, root)
+    journal = _journal_rows(spark, root)  # rows that stand in it twice change nothing here
     if journal is None:
         return []
     done = journal.where((F.col("table_cible") == table) & (F.col("statut") == DONE))
@@ -195,6 +195,38 @@ def _new_folder(root: str, table: str, scheme: str = "") -> str:
 
 
 def read_journal(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per load, or None before the first one."""
+    rows = _journal_rows(spark, root)
+    return None if rows is None else rows.distinct()
+
+
+def compact_journal(spark: SparkSession, root: str) -> int:
+    """Join the files of the journal, one per load, into one; the number of files joined.
+
+    The joined file is in place before the others go, and readers take equal rows once, so a run that is cut short
+    loses and counts nothing twice.  Rows appended meanwhile stay.  A reader at work may have to start again.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_journal_path(root))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return 0
+    old = [f.getPath() for f in files.listStatus(folder) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    if len(old) < 2:
+        return 0
+    aside = jvm.org.apache.hadoop.fs.Path(folder, f"_compact-{uuid.uuid4().hex}")
+    joined = spark.read.schema(K.JOURNAL).parquet(*[f.toString() for f in old]).distinct()
+    joined.coalesce(1).write.parquet(aside.toString())
+    new = [f.getPath() for f in files.listStatus(aside) if f.getPath().getName().startswith("part-")]
+    for path in new:
+        if not files.rename(path, jvm.org.apache.hadoop.fs.Path(folder, path.getName())):
+            raise OSError(f"cannot move {path.toString()}")
+    for path in [*old, aside]:
+        files.delete(path, True)
+    return len(old)
+
+
+def _journal_rows(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(K.JOURNAL).parquet(_journal_path(root))
     except AnalysisException as error:

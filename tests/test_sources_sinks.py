@@ -213,3 +213,28 @@ def test_written_tables(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     release(spark)
     assert not os.path.exists(stored.inputFiles()[0].removeprefix("file:"))
+
+
+def test_compact_journal(spark, folder):
+    """One file holds the rows of all loads; rows of a run that was cut short, or appended since, count once."""
+    import glob
+    import shutil
+    assert W.compact_journal(spark, folder) == 0
+    for i in range(4):
+        W.load_table(spark.createDataFrame([(i, "a")], "id int, v string"), folder, "staging.t", W.APPEND, run_id=str(i))
+    W.load_table(spark.createDataFrame([(0, "b"), (9, "b")], "id int, v string"), folder, "staging.t", W.UPSERT, ["id"], ["v"])
+    before = rows(W.read_journal(spark, folder))
+    table = rows(W.read_table(spark, folder, "staging.t"))
+    own = lambda: glob.glob(f"{folder}/staging/journal_chargements/*.parquet")
+    kept = own()[:2]
+    for f in kept:
+        shutil.copy(f, f"{folder}/{f.rpartition('/')[2]}")
+    assert W.compact_journal(spark, folder) == 5 and len(own()) == 1
+    assert rows(W.read_journal(spark, folder)) == before and rows(W.read_table(spark, folder, "staging.t")) == table
+    assert W.compact_journal(spark, folder) == 0
+    for f in kept:  # as if the run had ended before it deleted these
+        shutil.copy(f"{folder}/{f.rpartition('/')[2]}", f)
+    assert rows(W.read_journal(spark, folder)) == before and rows(W.read_table(spark, folder, "staging.t")) == table
+    W.load_table(spark.createDataFrame([(20, "c")], "id int, v string"), folder, "staging.t", W.APPEND)
+    assert rows(W.read_table(spark, folder, "staging.t")) == sorted([*table, (20, "c")], key=str)
+    assert W.compact_journal(spark, folder) == 4 and len(rows(W.read_journal(spark, folder))) == 6
