@@ -1,6 +1,7 @@
 """The contracts of operators in DuckDB's SQL, over whole tables.
 
-Nothing here follows an operator's method: each statement is written from what its query has to return.
+Each statement is written from what its query has to return, not from the operator's method; where the contract leaves
+the result to the method (the limits of ``op9``, the law of ``op5``), it states the same law.
 """
 
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
