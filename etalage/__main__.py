@@ -4,27 +4,30 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from etalage import contracts as K
 from etalage.plans.daily import ArrivalOrder
 from etalage.plans.stages import STAGES, FailedLoad, MissingStage, StagedRun
-from etalage.sources.files import extract_all
+from etalage.sources.extraction import FailedExtraction
+from etalage.sources.files import read_csv_contract
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    """0, or 1 where a load failed or a stage lacks one that it reads."""
+    """0, or 1 where a source or a load failed, or a stage lacks one that it reads."""
     options = _parser().parse_args(arguments)
     spark = spark or SparkSession.builder.appName(f"etalage {options.run_id}").getOrCreate()
     order = ArrivalOrder(options.client_order.split(","), options.transaction_order.split(","))
-    run = StagedRun(spark, options.root, options.run_id, options.as_of, order, options.min, options.max)
+    run = StagedRun(spark, options.root, options.run_id, options.as_of, order, options.min, options.max, options.pause)
     stages = None if options.stage == "all" else [options.stage]
-    sources = extract_all(spark, options.raw) if stages is None or options.stage == "extract" else {}
+    sources = {name: partial(read_csv_contract, spark, f"{options.raw}/{name}.csv", contract)
+               for name, contract in K.CSV_CONTRACTS.items()}
     try:
         # A stage that is asked for by name is done again; "all" goes on after the last complete one.
         summary = run.run(sources, stages, again=options.again or stages is not None)
-    except (FailedLoad, MissingStage) as error:
+    except (FailedExtraction, FailedLoad, MissingStage) as error:
         print(f"{type(error).__name__}: {error}", file=sys.stderr)
         return 1
     for r in summary.orderBy("etape", "nom_table").collect():  # one row per table
@@ -44,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--client-order", default="date_inscription", help="columns that say which row of a client is last")
     parser.add_argument("--transaction-order", default="date_transaction,produit_id,magasin_id,montant_total_xaf,quantite",
                         help="columns that say which row of a transaction is last")
+    parser.add_argument("--pause", type=float, default=K.EXTRACTION_PAUSE_SECONDS,
+                        help="seconds before a source that failed is read again")
     parser.add_argument("--again", action="store_true", help="do complete stages again")
     return parser
 

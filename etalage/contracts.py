@@ -125,6 +125,20 @@ JOURNAL = T.StructType([
     T.StructField("date_execution", T.DateType()),
 ])
 
+EXTRACTIONS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("mode", T.StringType()),
+    T.StructField("nb_lignes", T.LongType()),
+    T.StructField("nb_tentatives", T.LongType()),
+    T.StructField("statut", T.StringType()),
+    T.StructField("erreur", T.StringType()),
+    T.StructField("emplacement", T.StringType()),
+    T.StructField("debut_extraction", T.TimestampNTZType()),
+    T.StructField("fin_extraction", T.TimestampNTZType()),
+    T.StructField("duree_secondes", T.DecimalType(10, 2)),
+    T.StructField("pipeline_run_id", T.StringType()),
+])
+
 # --------------------------------------------------------------------------------------
 # thresholds
 # --------------------------------------------------------------------------------------
@@ -146,6 +160,13 @@ VAT_PCT = 18.0
 TOP_N = 20
 PERIOD_START = "2024-01-01"
 PERIOD_END = "2025-12-31"
+EXTRACTION_ATTEMPTS = 3
+EXTRACTION_PAUSE_SECONDS = 5.0
+RUN_DUE_SECONDS = 6 * 3600
+RUN_MAX_SECONDS = 2 * 3600
+SUCCESS_DAYS = 30
+SUCCESS_MIN_PCT = 98.0
+AVAILABILITY_MIN_PCT = 99.0
 
 # --------------------------------------------------------------------------------------
 # Code lists
@@ -219,6 +240,11 @@ CLIENT_CATEGORIES = ["Standard", "Premium", "VIP"]
 PREMIUM_CATEGORIES = ["Premium", "VIP"]
 TRANSACTION_STATUSES = ["Validé", "Annulé", "En attente", "Remboursé"]
 LOCAL_COUNTRIES = ["Congo", "Congo-Brazzaville", "RDC"]
+COUNTRY_CODES = {
+    "congo": "CG", "congo-brazzaville": "CG", "république du congo": "CG", "rdc": "CD", "cameroun": "CM", "gabon": "GA",
+    "tchad": "TD", "centrafrique": "CF", "république centrafricaine": "CF", "guinée équatoriale": "GQ", "angola": "AO",
+    "chine": "CN", "france": "FR",
+}
 CRITICAL_CLIENT_COLUMNS = ["client_id", "nom", "email", "ville"]
 
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}$"

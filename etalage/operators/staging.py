@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from etalage import contracts as K
 from etalage.functions import dates
-from etalage.functions.text import initcap_words, lookup
+from etalage.functions.text import initcap_words, lookup, map_codes
 from etalage.operators.rows import amount_range, dedup_latest, missing_id_filter, positive_quantity, status_is, \
     status_is_not
 
@@ -64,6 +64,24 @@ def stg_clients(df: DataFrame, tiebreak: Sequence[str] = ("client_id",)) -> Data
     return dedup_latest(both, ["client_id"], "date_inscription", ties).drop(*ties)
 
 
+def dim_clients(df: DataFrame, countries: Mapping[str, str] = K.COUNTRY_CODES) -> DataFrame:
+    """The customer system's clients as a dimension: names in title case, country codes, checked addresses.
+
+    Countries written out become their codes; any other text is taken for a code and put in upper case.  An
+    address that is malformed or padded, and a date that cannot be read, become null.  Rows without an id go.
+    """
+    # the end of the text, not the end of its last line
+    address = F.col("email").rlike(K.EMAIL_PATTERN.removesuffix("$") + r"\z")
+    return df.where(F.col("id_client").isNotNull()).select(
+        "id_client",
+        *[column.alias(name) for name, column in _titled("nom").items()],
+        map_codes(F.col("code_pays"), countries, F.upper(F.trim("code_pays"))).alias("code_pays"),
+        *[column.alias(name) for name, column in _titled("ville").items()],
+        F.when(address, F.col("email")).alias("email_valide"),
+        dates.to_day(F.col("date_creation")).alias("date_creation"),
+    )
+
+
 def stg_transactions(df: DataFrame, lo: float = K.AMOUNT_MIN, hi: float = K.AMOUNT_MAX,
                      tiebreak: Sequence[str] = ("produit_id", "magasin_id", "montant_total_xaf", "quantite")
                      ) -> DataFrame:

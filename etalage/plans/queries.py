@@ -13,8 +13,8 @@ from etalage.operators import aggregates as A, clients as C, column_tests as CT,
 from etalage.operators import quality as Q, quantiles as QT, ranking as R, rows, staging as S, transactions as X
 from etalage.plans import daily, stages
 from etalage.plans.star import AMOUNT_MAX, AMOUNT_MIN, AS_OF, TX_ORDER, Star
-from etalage.sinks import files as SF, warehouse as W
-from etalage.sources import database as DB, feeds, files, increments
+from etalage.sinks import files as SF, service, warehouse as W
+from etalage.sources import database as DB, extraction, feeds, files, increments
 from etalage.storage import materialise, scratch_path
 from etalage.streaming import increments as ST
 
@@ -407,6 +407,11 @@ def stg_clients(star: Star) -> DataFrame:
     return S.stg_clients(star.untidy_clients(), ["rang_arrivee"])
 
 
+@query
+def dim_clients(star: Star) -> DataFrame:
+    return S.dim_clients(star.crm_clients())
+
+
 @query
 def stg_transactions(star: Star) -> DataFrame:
     return S.stg_transactions(star.faulty_transactions(), AMOUNT_MIN, AMOUNT_MAX)
@@ -803,6 +808,47 @@ def _loaded(star: Star) -> str:
     return root
 
 
+def _extractions(star: Star) -> DataFrame:
+    """The journal after two runs: the sources, what is new in one of them, and a feed that has not arrived."""
+    root = scratch_path(star.spark, "warehouse")
+    events = star.table("events").withColumnRenamed("ts", "date_maj")
+    first = events.where(F.col("date_maj") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    marks = materialise(increments.next_mark(first, "ventes"), "marques")
+    sources = [extraction.Source(name, lambda df=df: df) for name, df in star.sources().items()]
+    feeds_ = [extraction.Source("ventes", lambda: increments.incremental_extract(events, marks, "ventes"), extraction.DELTA),
+              extraction.Source("taux", lambda: files.read_csv_text(star.spark, f"{root}/taux.csv"), optional=True)]
+    for run, wanted in {"soir": sources + feeds_, "nuit": feeds_}.items():
+        for source in wanted:
+            extraction.extract(star.spark, source, f"{root}/extraits/{run}/{source.name}", root, run, pause=0)
+    return extraction.read_extractions(star.spark, root)
+
+
+@query
+def extraction_journal(star: Star) -> DataFrame:
+    return _extractions(star).select("source", "mode", "nb_lignes", "nb_tentatives", "statut", "pipeline_run_id")
+
+
+@query
+def extraction_report(star: Star) -> DataFrame:
+    return extraction.extraction_report(_extractions(star)).drop("duree_max_secondes", "dernier_succes")
+
+
+@query
+def pipeline_runs(star: Star) -> DataFrame:
+    return service.pipeline_runs(star.journal())
+
+
+@query
+def success_rate(star: Star) -> DataFrame:
+    return service.success_rate(service.pipeline_runs(star.journal()), minimum=95.0)
+
+
+@query
+def availability(star: Star) -> DataFrame:
+    runs = materialise(service.pipeline_runs(star.journal()).select("jour", "statut"), "runs")
+    return service.availability(runs)
+
+
 @query
 def load_journal(star: Star) -> DataFrame:
     journal = W.read_journal(star.spark, _loaded(star))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from etalage import contracts as K
 from etalage.functions.text import lookup
+from etalage.sinks.warehouse import DONE, FAILED
 from etalage.storage import materialise
 
 AS_OF = "2001-12-31"
@@ -134,6 +135,38 @@ class Star:
             key.alias("rang_arrivee"),
         )
 
+    def crm_clients(self) -> DataFrame:
+        """The clients as the customer system delivers them, with countries and addresses of mixed quality."""
+        key = F.col("c_custkey")
+        countries = F.array(*[F.lit(c) for c in ["cg ", " Congo", "RDC", "cm", "GABON", " Fr", "Atlantide"]])
+        joined = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        return joined.select(
+            F.when(key % 61 != 5, F.concat(F.lit("C"), key)).alias("id_client"),
+            F.concat(F.lit("  "), F.lower("c_name"), F.lit(" ")).alias("nom"),
+            F.get(countries, key % 8).alias("code_pays"),
+            F.concat(F.lit(" "), F.upper(self._city())).alias("ville"),
+            F.when(key % 13 == 2, "sans adresse").when(key % 13 == 3, F.concat(F.lit(" c"), key, F.lit("@mail.cg")))
+             .when(key % 13 == 4, F.concat(F.lit("c"), key, F.lit("@mail.cg\n")))
+             .when(key % 13 != 5, F.concat(F.lit("Client."), key, F.lit("@Mail.CG"))).alias("email"),
+            F.when(key % 29 == 3, "inconnue").otherwise(
+                F.date_format(F.date_add(F.lit("1998-01-01").cast("date"), (key % 1500).cast("int")), "yyyy-MM-dd"))
+             .alias("date_creation"),
+        )
+
+    def journal(self) -> DataFrame:
+        """A journal of loads with one row per order: three runs a day, some loads of which fail or take long."""
+        key, agency = F.col("o_orderkey"), F.col("o_custkey") % 3
+        price = F.floor("o_totalprice").cast("long")
+        begin = F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(2), secs=key % 7200)
+        return self.table("orders").select(
+            F.concat(F.lit("staging.t"), key % 4).alias("table_cible"),
+            price.alias("nb_lignes_inserees"), (key % 5).alias("nb_lignes_rejetees"),
+            F.when((F.col("o_orderstatus") == "P") & (key % 3 == 0), FAILED).otherwise(DONE).alias("statut"),
+            begin.alias("debut_chargement"), (begin + F.make_dt_interval(secs=price % 9000)).alias("fin_chargement"),
+            F.when(F.col("o_custkey") % 50 != 0, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-"), agency))
+             .alias("pipeline_run_id"),
+        )
+
     def products(self) -> DataFrame:
         size = F.col("p_size")
         origin = F.get(F.array(*[F.lit(c) for c in ["Congo", "RDC", "Chine"]]), size % 4)

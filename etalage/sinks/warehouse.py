@@ -51,7 +51,7 @@ def load_table(df: DataFrame, root: str, table: str, strategy: str = REPLACE, ke
     """
     if strategy not in (REPLACE, APPEND, UPSERT):
         raise ValueError(f"unknown strategy: {strategy}")
-    spark, started = df.sparkSession, _now()
+    spark, started = df.sparkSession, now()
     entry = {"table_cible": table, "strategie": strategy, "debut_chargement": started, "pipeline_run_id": run_id,
              "statut": FAILED, "nb_lignes_source": 0, "nb_lignes_inserees": 0, "nb_lignes_mises_a_jour": 0,
              "nb_lignes_rejetees": rejected, "erreur": None, "emplacement": None, "morceaux": [], "remplace": []}
@@ -284,7 +284,7 @@ def pipeline_summary(journal: DataFrame, *stages: DataFrame) -> DataFrame:
 
 
 def _append_journal(spark: SparkSession, root: str, entry: dict) -> DataFrame:
-    finished = _now()
+    finished = now()
     elapsed = Decimal(str(round((finished - entry["debut_chargement"]).total_seconds(), 2)))
     entry = {**entry, "fin_chargement": finished, "duree_secondes": elapsed, "date_execution": finished.date()}
     row = spark.createDataFrame([tuple(entry[f.name] for f in K.JOURNAL)], K.JOURNAL)
@@ -296,5 +296,5 @@ def _journal_path(root: str) -> str:
     return f"{root}/staging/journal_chargements"
 
 
-def _now() -> dt.datetime:
+def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -196,6 +196,14 @@ SELECT client_id, upper(nom) AS nom, {title('prenom')} AS prenom, nom || ' ' ||
   {REGION.format('ville')} AS departement, categorie AS categorie_client,
   categorie IN ('Premium', 'VIP') AS est_client_premium, date_inscription FROM clients"""
 
+CTES["crm"] = f"""
+SELECT CASE WHEN k % 61 <> 5 THEN 'C' || k END AS id_client, '  ' || lower(c_name) || ' ' AS nom,
+  ['cg ', ' Congo', 'RDC', 'cm', 'GABON', ' Fr', 'Atlantide'][k % 8 + 1] AS code_pays, ' ' || upper({CITY}) AS ville,
+  CASE k % 13 WHEN 2 THEN 'sans adresse' WHEN 3 THEN ' c' || k || '@mail.cg' WHEN 4 THEN 'c' || k || '@mail.cg' || chr(10)
+       WHEN 5 THEN NULL ELSE 'Client.' || k || '@Mail.CG' END AS email,
+  CASE WHEN k % 29 = 3 THEN 'inconnue' ELSE strftime(DATE '1998-01-01' + CAST(k % 1500 AS INTEGER), '%Y-%m-%d') END AS date_creation
+FROM (SELECT *, c_custkey AS k FROM customer) LEFT JOIN nation ON n_nationkey = c_nationkey"""
+
 CTES["stg_pr"] = f"""
 SELECT produit_id, trim(nom_produit) AS nom_produit, {title('trim(categorie)')} AS categorie,
   {title('trim(sous_categorie)')} AS sous_categorie, prix_c, stock_initial, fournisseur, pays_origine,
@@ -527,6 +535,11 @@ SELECT trim(client_id) AS client_id, trim(telephone) AS telephone, {title('trim(
   coalesce(trim(categorie) IN ('Premium', 'VIP'), false) AS est_client_premium, date_inscription
 FROM untidy WHERE client_id <> '' AND nom <> ''
 QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY date_inscription DESC, rang_arrivee) = 1"""
+Q["dim_clients"] = f"""
+SELECT id_client, {title('trim(nom)')} AS nom, {coded('code_pays', K.COUNTRY_CODES, 'upper(trim(code_pays))')} AS code_pays,
+  {title('trim(ville)')} AS ville, CASE WHEN {EMAIL_OK.format('email')} THEN email END AS email_valide,
+  strftime(TRY_CAST(date_creation AS DATE), '%Y-%m-%d') AS date_creation
+FROM crm WHERE id_client IS NOT NULL"""
 Q["stg_transactions"] = f"""
 SELECT transaction_id, client_id, magasin_id, produit_id, strftime(d, '%Y-%m-%d') AS date_transaction,
   {big('year(d)')} AS annee, {big('month(d)')} AS mois, {big('quarter(d)')} AS trimestre, strftime(d, '%Y-%m') AS mois_annee,
@@ -862,6 +875,62 @@ FROM ({union(*loads())}) GROUP BY statut"""
 Q["load_summary"] = f"""
 SELECT split_part(table_cible, '.', 1) AS etape, split_part(table_cible, '.', 2) AS nom_table, nb_lignes_inserees AS nb_lignes, statut
 FROM ({union(*loads())}) WHERE NOT (table_cible IN ('staging.magasins', 'staging.clients') AND strategie = 'replace')"""
+CTES["after_mark"] = """
+SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')"""
+
+
+def extractions() -> list[str]:
+    whole = [("clients", "customer"), ("transactions", "lineitem"), ("produits", "part"), ("magasins", "supplier")]
+    rows = [(name, "complète", f"(SELECT count(*) FROM {table})", 1, "succès", "soir") for name, table in whole]
+    for run in ("soir", "nuit"):
+        rows += [("ventes", "delta", "(SELECT count(*) FROM after_mark)", 1, "succès", run), ("taux", "complète", "NULL", 3, "échec", run)]
+    return [f"SELECT '{name}' AS source, '{mode}' AS mode, {big(n)} AS nb_lignes, {big(tried)} AS nb_tentatives, "
+            f"'{status}' AS statut, '{run}' AS pipeline_run_id" for name, mode, n, tried, status, run in rows]
+
+
+Q["extraction_journal"] = union(*extractions())
+Q["extraction_report"] = f"""
+SELECT source, mode, count(*) AS nb_extractions, {big("count(*) FILTER (statut = 'échec')")} AS nb_echecs,
+  {big('sum(nb_tentatives - 1)')} AS nb_reprises, {big('coalesce(sum(nb_lignes), 0)')} AS nb_lignes
+FROM ({union(*extractions())}) GROUP BY source, mode"""
+
+CTES["journal"] = """
+SELECT 'staging.t' || (o_orderkey % 4) AS table_cible, CAST(floor(o_totalprice) AS BIGINT) AS inserted, o_orderkey % 5 AS rejected,
+  o_orderstatus = 'P' AND o_orderkey % 3 = 0 AS failed, o_orderdate + INTERVAL 2 HOUR + to_seconds(o_orderkey % 7200) AS debut,
+  o_orderdate + INTERVAL 2 HOUR + to_seconds(o_orderkey % 7200 + CAST(floor(o_totalprice) AS BIGINT) % 9000) AS fin,
+  CASE WHEN o_custkey % 50 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') || '-' || (o_custkey % 3) END AS run FROM orders"""
+CTES["runs"] = f"""
+SELECT *, CASE WHEN lost THEN 'échec' ELSE 'succès' END AS statut, CAST(debut AS DATE) AS jour,
+  epoch_us(fin) - epoch_us(CAST(CAST(debut AS DATE) AS TIMESTAMP)) < 6 * 3600 * 1000000::BIGINT AS in_time,
+  epoch_us(fin) - epoch_us(debut) < 2 * 3600 * 1000000::BIGINT AS short
+FROM (SELECT run, min(debut) AS debut, max(fin) AS fin, count(DISTINCT table_cible) AS tables, count(*) AS n,
+  {big('count(*) FILTER (failed)')} AS failures, {big('sum(inserted)')} AS inserted, {big('sum(rejected)')} AS rejected,
+  bool_or(failed AND fin = last) AS lost
+  FROM (SELECT *, max(fin) OVER (PARTITION BY run, table_cible) AS last FROM journal WHERE run <> '') GROUP BY run)"""
+
+
+def served(good: str) -> str:
+    return f"CASE WHEN {good} THEN 'OK' ELSE 'ALERTE' END AS statut_service"
+
+
+Q["pipeline_runs"] = f"""
+SELECT run AS pipeline_run_id, strftime(jour, '%Y-%m-%d') AS jour, strftime(debut, '%Y-%m-%d %H:%M:%S.%f') AS debut,
+  strftime(fin, '%Y-%m-%d %H:%M:%S.%f') AS fin, (epoch_us(fin) - epoch_us(debut)) // 1000000 AS duree_secondes,
+  tables AS nb_tables, n AS nb_chargements, failures AS nb_echecs, inserted AS nb_lignes_inserees,
+  rejected AS nb_lignes_rejetees, statut, in_time AS a_l_heure, short AS dans_le_delai,
+  {served("statut = 'succès' AND in_time AND short")} FROM runs"""
+Q["success_rate"] = f"""
+SELECT strftime(jour, '%Y-%m-%d') AS jour, n AS nb_executions, good AS nb_succes, {big('all_n')} AS nb_executions_fenetre,
+  {big('all_good')} AS nb_succes_fenetre, {half_even('(CAST(all_good AS DOUBLE) / all_n) * 100', 2)} AS taux_succes_pct,
+  {served('all_good * 100 > all_n * 95')}
+FROM (SELECT *, sum(n) OVER w AS all_n, sum(good) OVER w AS all_good
+  FROM (SELECT jour, count(*) AS n, count(*) FILTER (statut = 'succès') AS good FROM runs GROUP BY jour)
+  WINDOW w AS (ORDER BY jour RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW))"""
+Q["availability"] = f"""
+SELECT strftime(d, '%Y-%m') AS mois_annee, count(*) AS nb_jours_ouvres, count(jour) AS nb_jours_servis,
+  {half_even('(CAST(count(jour) AS DOUBLE) / count(*)) * 100', 2)} AS disponibilite_pct, {served('count(jour) * 100 >= count(*) * 99')}
+FROM (SELECT CAST(unnest(generate_series(CAST(min(jour) AS TIMESTAMP), CAST(max(jour) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM runs)
+LEFT JOIN (SELECT DISTINCT jour FROM runs WHERE statut = 'succès') ON jour = d WHERE isodow(d) < 6 GROUP BY 1"""
 Q["append_table"] = "SELECT magasin_id, CAST(2 AS BIGINT) AS nb FROM stores"
 Q["partitioned_fact"] = f"""
 SELECT {big('year(date_transaction)')} AS annee, {big('month(date_transaction)')} AS mois, count(*) AS nb_lignes,
