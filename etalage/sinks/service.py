@@ -24,18 +24,19 @@ def pipeline_runs(journal: DataFrame, due: int = K.RUN_DUE_SECONDS, longest: int
     less than ``longest`` seconds; a run without times kept to neither.  Loads that name no run are left out.
     """
     named = journal.where(~is_blank(F.col("pipeline_run_id")))
-    last = F.max(F.struct("fin_chargement", (F.col("statut") == FAILED).alias("failed")))
+    failed = F.col("statut") == FAILED
+    # the last load is a failed one if no load ended after the last of those; plain columns, so that nothing is sorted
+    lost = F.max("fin_chargement").eqNullSafe(F.max(F.when(failed, F.col("fin_chargement")))) & (F.count_if(failed) > 0)
     per_table = named.groupBy("pipeline_run_id", "table_cible").agg(
         F.min("debut_chargement").alias("debut"), F.max("fin_chargement").alias("fin"),
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("statut") == FAILED).alias("failures"),
-        F.coalesce(last["failed"], F.lit(False)).alias("failed"),
+        F.count(F.lit(1)).alias("n"), F.count_if(failed).alias("failures"), lost.alias("lost"),
         F.sum("nb_lignes_inserees").alias("inserted"), F.sum("nb_lignes_rejetees").alias("rejected"))
     runs = per_table.groupBy("pipeline_run_id").agg(
         F.min("debut").alias("debut"), F.max("fin").alias("fin"),
         F.count(F.lit(1)).alias("nb_tables"), F.sum("n").alias("nb_chargements"), F.sum("failures").alias("nb_echecs"),
         F.coalesce(F.sum("inserted"), F.lit(0)).alias("nb_lignes_inserees"),
         F.coalesce(F.sum("rejected"), F.lit(0)).alias("nb_lignes_rejetees"),
-        F.when(F.bool_or("failed"), FAILED).otherwise(DONE).alias("statut"))
+        F.when(F.bool_or("lost"), FAILED).otherwise(DONE).alias("statut"))
     midnight, took = F.to_date("debut").cast("timestamp_ntz"), _seconds(F.col("debut"), F.col("fin"))
     in_time = F.coalesce(_seconds(midnight, F.col("fin")) < due, F.lit(False))
     short = F.coalesce(took < longest, F.lit(False))
