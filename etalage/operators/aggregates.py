@@ -18,6 +18,10 @@ from etalage.storage import materialise
 # The quintile edges, as products of the step, which is how evenly spaced fractions are computed.
 QUINTILES = [i * 0.2 for i in range(1, 5)]
 
+# Columns of the enriched fact that the four aggregates read.
+AGGREGATED_COLUMNS = ["transaction_id", "date_transaction", "mois_annee", "client_id", "produit_id", "magasin_id", "nom_magasin",
+                      "ville_magasin", "quantite", "montant_total_xaf", "prix_unitaire_xaf"]
+
 # Quantile segments.
 CHAMPIONS = "Champions"
 LOYAL = "Clients fidèles"

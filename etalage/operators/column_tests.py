@@ -124,6 +124,12 @@ def _relationship_test(df: DataFrame, parent: DataFrame, test: ColumnTest) -> Da
     return _result(broken.agg(F.count(F.lit(1)).alias("n")), test, F.col("n"))
 
 
+def tested_columns(table: str, tests: Sequence[ColumnTest]) -> list[str]:
+    """The columns of a table that tests read, those that others refer to among them."""
+    own = [c for t in tests if t.table == table for c in (t.column, *t.key)]
+    return list(dict.fromkeys(own + [t.column for t in tests if t.to == table]))
+
+
 def run_column_tests(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest] = tuple(MODEL_TESTS)) -> DataFrame:
     """One row per test: table, column, test, failures, status.  Tests of absent tables are listed as not run.
 

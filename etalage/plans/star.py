@@ -78,10 +78,10 @@ class Star:
             columns["prix_unitaire_xaf"] = F.when(F.col("l_linenumber") % 5 == 0, listed).otherwise(own.cast(K.MONEY))
         return line.select(*[c.alias(name) for name, c in columns.items()])
 
-    def faulty_transactions(self) -> DataFrame:
-        """The fact with missing ids, zero quantities and missing amounts among its rows."""
+    def faulty_transactions(self, tx: DataFrame | None = None) -> DataFrame:
+        """The fact, computed or as written, with missing ids, zero quantities and missing amounts among its rows."""
         part, supplier = F.col("produit_id").substr(2, 20).cast("long"), F.col("magasin_id").substr(2, 20).cast("long")
-        return self.transactions().withColumns({
+        return (self.transactions() if tx is None else tx).withColumns({
             "transaction_id": F.when(part % 97 == 0, None).when(part % 97 == 1, "").otherwise(F.col("transaction_id")),
             "quantite": F.when(supplier % 41 == 0, 0).otherwise(F.col("quantite")),
             "prix_unitaire_xaf": F.when(part % 89 == 0, None).otherwise(F.col("prix_unitaire_xaf")),
