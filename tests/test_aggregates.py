@@ -147,3 +147,21 @@ def test_segments(spark):
     df = spark.createDataFrame(cases, "score_recence int, score_frequence int, m int, recence_jours int, want string")
     total = F.col("score_recence") + F.col("score_frequence") + F.col("m")
     assert all(r[0] == r[1] for r in df.select(M.rfm_segment(total), "want").collect())
+
+
+@pytest.mark.parametrize("columns", [["magasin_id", "nb_transactions", "ca_total_xaf"], ["client_id", "segment_rfm", "ca_total_xaf"],
+                                     ["produit_id", "categorie_performance"], ["nb_clients_uniques", "part_ca_premium_pct"],
+                                     ["produit_id", "rang_volume", "nb_magasins_vendeurs", "taux_vente_en_ligne_pct"],
+                                     ["client_id", "nb_mois_actifs", "panier_moyen_xaf", "nb_produits_differents", "est_client_actif"]])
+def test_a_mart_wanted_in_some_columns_equals_those_of_the_whole(staged, dimensions, columns):
+    marts = {"sales": lambda c: M.sales_mart(staged, *dimensions, columns=c),
+             "clients": lambda c: M.client_mart(dimensions[0], staged, "2024-03-31", columns=c),
+             "products": lambda c: M.product_mart(dimensions[1], staged, columns=c)}
+    tried = 0
+    for build in marts.values():
+        whole = build(None)
+        if set(columns) <= set(whole.columns):
+            part, tried = build(columns), tried + 1
+            assert sorted(part.columns) == sorted(columns)
+            assert sorted(map(repr, part.select(columns).collect())) == sorted(map(repr, whole.select(columns).collect()))
+    assert tried

@@ -128,3 +128,13 @@ def test_a_merge_into_months_is_not_written_twice(spark, tmp_path, monkeypatch):
     assert counted == [3]
     got = sorted((r["k"], r["v"], r["mois"]) for r in spark.read.parquet(path).collect())
     assert got == [("a", 1, 1), ("b", 2, 2), ("c", 1, 2), ("d", 2, 3)]
+
+
+def test_column_tests_take_no_distinct_counts_and_stage_what_is_read(star, monkeypatch):
+    counted, staged = [], {}
+    monkeypatch.setattr(M, "with_distinct_counts", lambda df, tx, keys, counts: counted.extend(counts) or df)
+    models = daily.models
+    monkeypatch.setattr(daily, "models", lambda *a, **k: staged.update(models(*a, **k)) or staged)
+    assert Q.column_tests(star).count() == len(CT.MODEL_TESTS)
+    assert counted == []
+    assert "jour_semaine" not in staged["stg_transactions"].columns and "quartier" not in staged["stg_clients"].columns
