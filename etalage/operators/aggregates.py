@@ -6,6 +6,8 @@ doubles rounded half to even.  Rows with a missing group key are left out of the
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from etalage import contracts as K
@@ -61,12 +63,18 @@ def monthly_revenue(tx: DataFrame) -> DataFrame:
     )
 
 
-def product_sales(tx: DataFrame, products: DataFrame | None = None, written: bool = False) -> DataFrame:
+def _asked(name: str, columns: Collection[str] | None) -> bool:
+    return columns is None or name in columns
+
+
+def product_sales(tx: DataFrame, products: DataFrame | None = None, written: bool = False,
+                  columns: Collection[str] | None = None) -> DataFrame:
     """Sales per product, with name and category where the catalogue is given.
 
     Rows are grouped by the product alone; the catalogue is joined to the result.  Products that it lacks, or has
     no name or category for, are left out then.  The fact is read three times, so the columns in use are
-    written first, unless ``written`` says that the fact is a written table.
+    written first, unless ``written`` says that the fact is a written table.  ``columns``: those wanted beside the
+    keys; others are not computed.
     """
     keys = ["produit_id"] if products is not None else _present(tx, "produit_id", "nom_produit", "categorie_produit")
     known = read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf", "prix_unitaire_xaf",
@@ -78,20 +86,23 @@ def product_sales(tx: DataFrame, products: DataFrame | None = None, written: boo
         ratio(_revenue("prix_unitaire_xaf"), F.count("prix_unitaire_xaf")).alias("prix_moyen_xaf"),
     )
     counts = {"nb_magasins": "magasin_id", "nb_clients": "client_id"}
-    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns})
+    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns and _asked(n, columns)})
+    out = out.select(*[c for c in out.columns if c in keys or _asked(c, columns)])
     if products is None:
         return out
     labels = products.select("produit_id", "nom_produit", F.col("categorie").alias("categorie_produit")).na.drop()
     return labels.join(out, "produit_id")
 
 
-def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None = None, written: bool = False) -> DataFrame:
+def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None = None, written: bool = False,
+                 columns: Collection[str] | None = None) -> DataFrame:
     """Best sellers with rank and share among all products.
 
     The rank of a row depends on the rows above it only, so it is taken over the ``top_n`` rows; the
-    share divides by the total over all products.
+    share divides by the total over all products.  ``columns``: those wanted beside the keys and the revenue.
     """
-    sales = materialise(product_sales(tx, products, written), "sales")
+    read = None if columns is None else {*columns, "ca_total_xaf"}
+    sales = materialise(product_sales(tx, products, written, read), "sales")
     total = sales.agg(F.sum("ca_total_xaf").alias("total")).scalar()
     best = top_k(sales, top_n, F.desc("ca_total_xaf"), F.asc("produit_id"))
     by_revenue = Window.orderBy(F.desc("ca_total_xaf"))  # over top_n rows
@@ -100,11 +111,12 @@ def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None
                              "part_ca_pct": round_half_even(share, 2)})
 
 
-def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS, written: bool = False) -> DataFrame:
+def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS, written: bool = False,
+                      columns: Collection[str] | None = None) -> DataFrame:
     """Sales per store with its revenue rank; the monthly mean divides by a fixed number of months.
 
     The fact is read three times, so the columns in use are written first, unless ``written`` says that it is
-    a written table.
+    a written table.  ``columns``: those wanted; distinct counts beyond them are not taken.
     """
     keys = _present(tx, "magasin_id", "nom_magasin", "ville_magasin")
     known = read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf", "client_id", "produit_id"],
@@ -116,7 +128,7 @@ def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS, written: bool
         F.sum("quantite").alias("quantite_totale"),
     )
     counts = {"nb_clients_uniques": "client_id", "nb_produits_vendus": "produit_id"}
-    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns})
+    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns and _asked(n, columns)})
     out = out.withColumns({
         "panier_moyen_xaf": round_half_even(F.col("ca_moyen_xaf")),
         "ca_mensuel_moyen_xaf": round_half_even(ratio(F.col("ca_total_xaf"), F.lit(months))),
@@ -181,12 +193,18 @@ def segment_distribution(rfm: DataFrame, segment: str = "segment_rfm") -> DataFr
     return counts.withColumn("part_pct", round_half_even(ratio(F.col("nb_clients"), total) * F.lit(100.0), 1))
 
 
-def all_aggregates(tx: DataFrame, products: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The four aggregate tables.  Pass a written table: each of them reads only the columns it needs."""
+def all_aggregates(tx: DataFrame, products: DataFrame | None = None,
+                   columns: Mapping[str, Collection[str]] | None = None) -> dict[str, DataFrame]:
+    """The four aggregate tables.  Pass a written table: each of them reads only the columns it needs.
+
+    A caller who reads some ``columns`` only names them by table.  Distinct counts beyond them are not taken and each
+    table reads the fact once, so that it need not be written.
+    """
+    wanted = columns or {}
     return {
         "ca_mensuel": monthly_revenue(tx),
-        "top_produits": top_products(tx, products=products, written=True),
-        "performance_magasins": store_performance(tx, written=True),
+        "top_produits": top_products(tx, products=products, written=True, columns=wanted.get("top_produits")),
+        "performance_magasins": store_performance(tx, written=True, columns=wanted.get("performance_magasins")),
         "segmentation_rfm": rfm_quantile(tx),
     }
 

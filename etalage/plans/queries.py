@@ -112,11 +112,15 @@ def segment_distribution(star: Star) -> DataFrame:
     return A.segment_distribution(rfm)
 
 
-def aggregated_fact(star: Star, tx: DataFrame) -> DataFrame:
-    """The fact with the store's name and town, written in the columns that the four aggregates read."""
+def aggregated_rows(star: Star, tx: DataFrame) -> DataFrame:
+    """The fact with the store's name and town, in those columns that the four aggregates read which it has."""
     stores = star.written(star.stores(), "stores")
-    wide = J.enrich_dimensions(X.time_dimensions(tx), stores=stores)
-    return star.written(wide.select(*A.AGGREGATED_COLUMNS), "transactions")
+    return rows.column_slimming(J.enrich_dimensions(X.time_dimensions(tx), stores=stores), A.AGGREGATED_COLUMNS)
+
+
+def aggregated_fact(star: Star, tx: DataFrame) -> DataFrame:
+    """The same, written."""
+    return star.written(aggregated_rows(star, tx), "transactions")
 
 
 @query
@@ -565,11 +569,14 @@ def column_tests(star: Star) -> DataFrame:
 
 @query
 def table_constraints(star: Star) -> DataFrame:
-    fact = star.written(star.transactions(), "fact")
-    tables = star.sources() | {"transactions": star.faulty_transactions(fact)}
-    tables |= A.all_aggregates(aggregated_fact(star, fact), star.products())
-    tested = {name: df.select(*CT.tested_columns(name, CT.TABLE_CONSTRAINTS)) for name, df in tables.items()}
-    return CT.run_column_tests({name: materialise(df, name) for name, df in tested.items()}, CT.TABLE_CONSTRAINTS)
+    """The fact is written once, in the columns that are tested and those that the aggregates of tested columns read."""
+    wanted = {t.table: CT.tested_columns(t.table, CT.TABLE_CONSTRAINTS) for t in CT.TABLE_CONSTRAINTS}
+    fact = rows.column_slimming(star.transactions(), list(dict.fromkeys([*wanted["transactions"], *A.AGGREGATED_COLUMNS])))
+    fact = star.written(fact, "fact")
+    tables = star.sources() | A.all_aggregates(aggregated_rows(star, fact), star.products(), wanted)
+    tested = {name: df.select(*wanted[name]) for name, df in tables.items() if name != "transactions"}
+    tested = {name: materialise(df, name) for name, df in tested.items()}
+    return CT.run_column_tests(tested | {"transactions": star.faulty_transactions(fact)}, CT.TABLE_CONSTRAINTS)
 
 
 # ---------------------------------------------------------------------------------------------

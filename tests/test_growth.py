@@ -138,3 +138,12 @@ def test_column_tests_take_no_distinct_counts_and_stage_what_is_read(star, monke
     assert Q.column_tests(star).count() == len(CT.MODEL_TESTS)
     assert counted == []
     assert "jour_semaine" not in staged["stg_transactions"].columns and "quartier" not in staged["stg_clients"].columns
+
+
+def test_table_constraints_take_no_distinct_counts_and_write_the_fact_once(star, monkeypatch):
+    counted, tags, plain = [], [], Star.written
+    monkeypatch.setattr(Q.A, "with_distinct_counts", lambda df, tx, keys, counts: counted.extend(counts) or df)
+    monkeypatch.setattr(Star, "written", lambda self, df, tag: tags.append((tag, df.columns)) or plain(self, df, tag))
+    assert Q.table_constraints(star).count() == len(CT.TABLE_CONSTRAINTS)
+    assert counted == []
+    assert [tag for tag, _ in tags] == ["fact", "stores"] and "mode_paiement" not in dict(tags)["fact"]
