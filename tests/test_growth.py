@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from etalage.operators import column_tests as CT, marts as M, rows as R
+from etalage.operators import column_tests as CT, marts as M, quality as QU, rows as R
 from etalage.plans import daily, queries as Q, stages
 from etalage.plans.star import AMOUNT_MAX, AMOUNT_MIN, AS_OF, TX_ORDER, Star
 from etalage.sinks import files as SF, warehouse as W
@@ -147,3 +147,28 @@ def test_table_constraints_take_no_distinct_counts_and_write_the_fact_once(star,
     assert Q.table_constraints(star).count() == len(CT.TABLE_CONSTRAINTS)
     assert counted == []
     assert [tag for tag, _ in tags] == ["fact", "stores"] and "mode_paiement" not in dict(tags)["fact"]
+
+
+def test_a_report_of_text_writes_marks_and_equals_that_of_the_table(spark, monkeypatch):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, None), (None, 2, "x"), ("b", None, "y"), ("b", None, "y")],
+                               "k string, n int, `a.b` string")
+    rules = [QU.Rule("n", QU.F.col("n") != 1, QU.F.lit("n"))]
+    whole = [out.collect() for out in QU.quality_report(df, "t", rules)]
+    tables, plain = [], QU.materialise
+    monkeypatch.setattr(QU, "materialise", lambda df, tag: tables.append(df) or plain(df, tag))
+    assert [out.collect() for out in QU.quality_report(df, "t", rules, written=False)] == whole
+    assert whole[0][0]["doublons"] == 2 and whole[0][0]["lignes_invalides"] == 3
+    assert {f.dataType.simpleString() for f in tables[0].schema} == {"boolean", "bigint"}
+
+
+def test_integers_and_texts_of_csv_read_as_before(spark):
+    from etalage.functions import numbers, text
+    from etalage.sources.files import _typed
+
+    values = ["7", " 7 ", "+7", "-0", "7.9", "-7.9", "1e3", "7d", "7 f", "9007199254740993", "99999999999999999999", "trois", "NA",
+              "", " ", None, "#N/A N/A", "\tNA", " N/A", "Infinity", " x ", "x y", "\n", "long text of words ", "2147483648"]
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    c = QU.F.when(~QU.F.col("c").isin(*QU.K.MISSING_TOKENS), QU.F.col("c"))
+    got = df.select(_typed("c", "int").alias("i"), _typed("c", "text").alias("t"), numbers.to_int_or_zero(c).alias("oi"),
+                    text.strip(c).alias("ot")).collect()
+    assert [(r["i"], r["t"]) for r in got] == [(r["oi"], r["ot"]) for r in got]
