@@ -11,10 +11,12 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from etalage import contracts as K
+from etalage.functions.dates import month_key
 from etalage.functions.numbers import exact_mean, percent_of, ratio, round_half_even
+from etalage.operators.joins import STORE_COLUMNS, STORE_NAMES
 from etalage.operators.quantiles import quantile_score, quantiles
 from etalage.operators.ranking import global_rank
-from etalage.operators.rows import read_often, top_k, with_distinct_counts
+from etalage.operators.rows import column_slimming, read_often, top_k, with_distinct_counts
 from etalage.storage import materialise
 
 # The quintile edges, as products of the step, which is how evenly spaced fractions are computed.
@@ -24,6 +26,10 @@ QUINTILES = [i * 0.2 for i in range(1, 5)]
 AGGREGATED_COLUMNS = ["transaction_id", "date_transaction", "mois_annee", "client_id", "produit_id", "magasin_id", "nom_magasin",
                       "ville_magasin", "quantite", "montant_total_xaf", "prix_unitaire_xaf"]
 
+# Sums and distinct counts per product, the latter with the column that they count.
+PRODUCT_SUMS = ["nb_ventes", "quantite_totale", "ca_total_xaf", "prix_moyen_xaf"]
+PRODUCT_COUNTS = {"nb_magasins": "magasin_id", "nb_clients": "client_id"}
+
 # Quantile segments.
 CHAMPIONS = "Champions"
 LOYAL = "Clients fidèles"
@@ -39,12 +45,16 @@ def _revenue(col: str = "montant_total_xaf") -> Column:
     return F.sum(F.col(col).cast(K.MONEY_SUM))
 
 
-def monthly_revenue(tx: DataFrame) -> DataFrame:
+def monthly_revenue(tx: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """Revenue per month and, where present, store town and store.
 
     Year, month and quarter follow from the month, so they are read off it afterwards and do not widen
-    the keys that are shuffled.
+    the keys that are shuffled.  Nor does the town, if ``stores`` gives it for a fact without it: each store
+    stands there once, and the towns are joined to the result.  A fact without months is grouped by their first days.
     """
+    dated = "mois_annee" not in tx.columns
+    if dated:
+        tx = tx.withColumn("mois_annee", F.trunc("date_transaction", "month"))
     keys = ["mois_annee", *_present(tx, "ville_magasin", "magasin_id")]
     out = tx.na.drop(subset=keys).groupBy(*keys).agg(
         F.count("transaction_id").alias("nb_transactions"),
@@ -54,6 +64,11 @@ def monthly_revenue(tx: DataFrame) -> DataFrame:
         F.min("montant_total_xaf").alias("montant_min_xaf"),
         F.max("montant_total_xaf").alias("montant_max_xaf"),
     )
+    if stores is not None:
+        out = (store_labels(stores).select("magasin_id", "ville_magasin").na.drop().join(out, "magasin_id")
+               .select("mois_annee", "ville_magasin", *out.columns[1:]))
+    if dated:
+        out = out.withColumn("mois_annee", month_key(F.col("mois_annee")))
     first, total = F.to_date(F.concat("mois_annee", F.lit("-01"))), F.col("ca_total_xaf")
     return out.select(
         "mois_annee", F.year(first).alias("annee"), F.month(first).alias("mois"),
@@ -63,10 +78,27 @@ def monthly_revenue(tx: DataFrame) -> DataFrame:
     )
 
 
+def store_labels(stores: DataFrame) -> DataFrame:
+    """The stores with the columns that the enriched fact carries, by the names they have there."""
+    return column_slimming(stores, STORE_COLUMNS, STORE_NAMES)
+
+
 def _asked(name: str, columns: Collection[str] | None) -> bool:
     return columns is None or name in columns
 
 
+def _known_sales(tx: DataFrame, products: DataFrame | None, written: bool) -> tuple[list[str], DataFrame]:
+    """The keys of the products and the rows that have them, in the columns that sales per product read."""
+    keys = ["produit_id"] if products is not None else _present(tx, "produit_id", "nom_produit", "categorie_produit")
+    return keys, read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf",
+                                                      "prix_unitaire_xaf", "magasin_id", "client_id"], written)
+
+
+def _product_counts(tx: DataFrame, columns: Collection[str] | None) -> dict[str, str]:
+    """The distinct counts per product that are wanted."""
+    return {n: c for n, c in PRODUCT_COUNTS.items() if c in tx.columns and _asked(n, columns)}
+
+
 def product_sales(tx: DataFrame, products: DataFrame | None = None, written: bool = False,
                   columns: Collection[str] | None = None) -> DataFrame:
     """Sales per product, with name and category where the catalogue is given.
@@ -76,17 +108,14 @@ def product_sales(tx: DataFrame, products: DataFrame | None = None, written: boo
     written first, unless ``written`` says that the fact is a written table.  ``columns``: those wanted beside the
     keys; others are not computed.
     """
-    keys = ["produit_id"] if products is not None else _present(tx, "produit_id", "nom_produit", "categorie_produit")
-    known = read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf", "prix_unitaire_xaf",
-                                                 "magasin_id", "client_id"], written)
+    keys, known = _known_sales(tx, products, written)
     out = known.groupBy(*keys).agg(
         F.count("transaction_id").alias("nb_ventes"),
         F.sum("quantite").alias("quantite_totale"),
         _revenue().alias("ca_total_xaf"),
         ratio(_revenue("prix_unitaire_xaf"), F.count("prix_unitaire_xaf")).alias("prix_moyen_xaf"),
     )
-    counts = {"nb_magasins": "magasin_id", "nb_clients": "client_id"}
-    out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns and _asked(n, columns)})
+    out = with_distinct_counts(out, known, keys, _product_counts(tx, columns))
     out = out.select(*[c for c in out.columns if c in keys or _asked(c, columns)])
     if products is None:
         return out
@@ -98,13 +127,20 @@ def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None
                  columns: Collection[str] | None = None) -> DataFrame:
     """Best sellers with rank and share among all products.
 
-    The rank of a row depends on the rows above it only, so it is taken over the ``top_n`` rows; the
-    share divides by the total over all products.  ``columns``: those wanted beside the keys and the revenue.
+    The rank of a row depends on the rows above it only, so it is taken over the ``top_n`` rows, and so are the
+    distinct counts, for which the fact is read again; the share divides by the total over all products.
+    ``columns``: those wanted beside the keys and the revenue.
     """
-    read = None if columns is None else {*columns, "ca_total_xaf"}
-    sales = materialise(product_sales(tx, products, written, read), "sales")
+    keys, known = _known_sales(tx, products, written)
+    read = {c for c in PRODUCT_SUMS if _asked(c, columns)} | {"ca_total_xaf"}
+    sales = materialise(product_sales(known, products, True, read), "sales")
     total = sales.agg(F.sum("ca_total_xaf").alias("total")).scalar()
     best = top_k(sales, top_n, F.desc("ca_total_xaf"), F.asc("produit_id"))
+    counts = _product_counts(tx, columns)
+    if counts:
+        best = materialise(best, "best")  # Spark then knows that it is small
+        sold = materialise(known.join(best.select(*keys), keys, "left_semi").select(*keys, *counts.values()), "sold")
+        best = with_distinct_counts(best, sold, keys, counts)
     by_revenue = Window.orderBy(F.desc("ca_total_xaf"))  # over top_n rows
     share = ratio(F.col("ca_total_xaf"), total) * F.lit(100.0)
     return best.withColumns({"rang_ca": F.rank().over(by_revenue),
@@ -112,11 +148,12 @@ def top_products(tx: DataFrame, top_n: int = K.TOP_N, products: DataFrame | None
 
 
 def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS, written: bool = False,
-                      columns: Collection[str] | None = None) -> DataFrame:
+                      columns: Collection[str] | None = None, stores: DataFrame | None = None) -> DataFrame:
     """Sales per store with its revenue rank; the monthly mean divides by a fixed number of months.
 
     The fact is read three times, so the columns in use are written first, unless ``written`` says that it is
-    a written table.  ``columns``: those wanted; distinct counts beyond them are not taken.
+    a written table.  ``columns``: those wanted; distinct counts beyond them are not taken.  ``stores``: each store
+    once, with the names and towns of a fact without them; they are joined to the result.
     """
     keys = _present(tx, "magasin_id", "nom_magasin", "ville_magasin")
     known = read_often(tx.na.drop(subset=keys), [*keys, "transaction_id", "quantite", "montant_total_xaf", "client_id", "produit_id"],
@@ -129,6 +166,8 @@ def store_performance(tx: DataFrame, months: int = K.STORE_MONTHS, written: bool
     )
     counts = {"nb_clients_uniques": "client_id", "nb_produits_vendus": "produit_id"}
     out = with_distinct_counts(out, known, keys, {n: c for n, c in counts.items() if c in tx.columns and _asked(n, columns)})
+    if stores is not None:
+        out = store_labels(stores).na.drop().join(out, "magasin_id")
     out = out.withColumns({
         "panier_moyen_xaf": round_half_even(F.col("ca_moyen_xaf")),
         "ca_mensuel_moyen_xaf": round_half_even(ratio(F.col("ca_total_xaf"), F.lit(months))),
@@ -194,17 +233,20 @@ def segment_distribution(rfm: DataFrame, segment: str = "segment_rfm") -> DataFr
 
 
 def all_aggregates(tx: DataFrame, products: DataFrame | None = None,
-                   columns: Mapping[str, Collection[str]] | None = None) -> dict[str, DataFrame]:
-    """The four aggregate tables.  Pass a written table: each of them reads only the columns it needs.
+                   columns: Mapping[str, Collection[str]] | None = None,
+                   stores: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four aggregate tables.  Pass a written table: each of them reads only the columns it needs.  If it lacks
+    the stores' names and towns, ``stores`` gives them, each store once; it may lack the months.
 
     A caller who reads some ``columns`` only names them by table.  Distinct counts beyond them are not taken and each
     table reads the fact once, so that it need not be written.
     """
     wanted = columns or {}
     return {
-        "ca_mensuel": monthly_revenue(tx),
+        "ca_mensuel": monthly_revenue(tx, stores),
         "top_produits": top_products(tx, products=products, written=True, columns=wanted.get("top_produits")),
-        "performance_magasins": store_performance(tx, written=True, columns=wanted.get("performance_magasins")),
+        "performance_magasins": store_performance(tx, written=True, columns=wanted.get("performance_magasins"),
+                                                  stores=stores),
         "segmentation_rfm": rfm_quantile(tx),
     }
 

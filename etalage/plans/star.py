@@ -50,12 +50,16 @@ class Star:
 
     def transactions(self, price: bool = True, order: bool = True) -> DataFrame:
         """The fact; ``price`` joins the catalogue, ``order`` joins client, payment and status."""
-        line = self.table("lineitem")
+        # what a row needs once is computed below the joins: the amount, which the price is made of too, and an order's columns
+        line = self.table("lineitem").withColumn("montant_total_xaf", F.col("l_extendedprice").cast(K.MONEY))
         if price:
             line = line.join(self.table("part").select("p_partkey", "p_retailprice"),
                              F.col("l_partkey") == F.col("p_partkey"), "left")
         if order:
-            head = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+            head = self.table("orders").select(
+                "o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("client_id"),
+                lookup(F.left("o_orderpriority", F.lit(1)), PAYMENTS).alias("mode_paiement"),
+                lookup(F.col("o_orderstatus"), STATUSES).alias("statut"))
             line = line.join(head, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         columns = {
             "transaction_id": F.concat(F.lit("T"), "l_orderkey", F.lit("-"), "l_linenumber"),
@@ -63,17 +67,13 @@ class Star:
             "magasin_id": F.concat(F.lit("M"), "l_suppkey"),
             "produit_id": F.concat(F.lit("P"), "l_partkey"),
             "quantite": F.col("l_quantity").cast("int"),
-            "montant_total_xaf": F.col("l_extendedprice").cast(K.MONEY),
+            "montant_total_xaf": F.col("montant_total_xaf"),
             "canal_vente": F.when(F.col("l_linestatus") == "O", K.ONLINE).otherwise("Magasin"),
         }
         if order:
-            columns |= {
-                "client_id": F.concat(F.lit("C"), "o_custkey"),
-                "mode_paiement": lookup(F.left("o_orderpriority", F.lit(1)), PAYMENTS),
-                "statut": lookup(F.col("o_orderstatus"), STATUSES),
-            }
+            columns |= {name: F.col(name) for name in ("client_id", "mode_paiement", "statut")}
         if price:
-            own = F.round(F.col("l_extendedprice").cast(K.MONEY) / F.col("l_quantity").cast("decimal(10,0)"), 2)
+            own = F.round(F.col("montant_total_xaf") / F.col("l_quantity").cast("decimal(10,0)"), 2)
             listed = F.col("p_retailprice").cast(K.MONEY)
             columns["prix_unitaire_xaf"] = F.when(F.col("l_linenumber") % 5 == 0, listed).otherwise(own.cast(K.MONEY))
         return line.select(*[c.alias(name) for name, c in columns.items()])

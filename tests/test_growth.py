@@ -1,10 +1,12 @@
 """What keeps the work per row small: facts computed and written once, and as few shuffles as the result needs."""
 
+import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from etalage.operators import column_tests as CT, marts as M, quality as QU, rows as R
+from etalage.operators import aggregates as A, column_tests as CT, joins as J, marts as M, quality as QU, rows as R, transactions as X
 from etalage.plans import daily, queries as Q, stages
 from etalage.plans.star import AMOUNT_MAX, AMOUNT_MIN, AS_OF, TX_ORDER, Star
 from etalage.sinks import files as SF, warehouse as W
@@ -54,6 +56,58 @@ def test_loads_aggregates_and_constraints_join_the_fact_once(star, monkeypatch):
     assert len(calls) <= 2
 
 
+def test_loads_aggregate_the_loaded_fact_without_writing_it_again(star, monkeypatch):
+    tags, plain = [], Star.written
+    monkeypatch.setattr(Star, "written", lambda self, df, tag: tags.append(tag) or plain(self, df, tag))
+    Q._loaded(star)
+    assert tags == ["stores"]
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_loaded_aggregates_equal_those_of_the_enriched_fact(star, spark, monkeypatch, twice):
+    if twice:  # a store that stands twice counts its sales twice
+        plain, one = Star.stores, F.col("magasin_id") == "M1"
+        monkeypatch.setattr(Star, "stores", lambda self: plain(self).unionByName(plain(self).where(one)))
+    root = Q._loaded(star)
+    enriched = Q.A.all_aggregates(Q.aggregated_fact(star, star.transactions()), star.products())
+    for name, expected in enriched.items():
+        got = W.read_table(spark, root, f"marts.{name}")
+        assert got.dtypes == expected.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_aggregates_of_a_bare_fact_and_its_stores_equal_those_of_the_enriched_fact(spark):
+    lines = [(f"T{i}" if i % 7 else None, dt.date(2024, i % 3 + 1, 5) if i % 11 else None, f"C{i % 4}" if i % 5 else None,
+              f"P{i % 6}", f"M{i % 5}" if i % 6 else None, i if i % 8 else None, Decimal(100 + i)) for i in range(90)]
+    bare = spark.createDataFrame(lines, "transaction_id string, date_transaction date, client_id string, produit_id string, "
+                                        "magasin_id string, quantite int, montant_total_xaf decimal(15,2)")
+    # M0 is unknown, M1 has no town, M2 no name
+    stores = spark.createDataFrame([("M1", "un", None), ("M2", None, "Ouesso"), ("M3", "trois", "Sibiti"), ("M4", "quatre", "Sibiti")],
+                                   "magasin_id string, nom_magasin string, ville string")
+    enriched = J.enrich_dimensions(X.time_dimensions(bare), stores=stores)
+    for one, other in [(A.monthly_revenue(bare, stores), A.monthly_revenue(enriched)),
+                       (A.store_performance(bare, stores=stores), A.store_performance(enriched))]:
+        assert one.dtypes == other.dtypes
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_best_sellers_count_the_rows_of_the_best_alone(spark, monkeypatch):
+    lines = [(f"T{i}", f"P{i % 9}", f"M{i % 4}" if i % 3 else None, f"C{i % 5}", 1, Decimal(i % 9), Decimal(i % 9)) for i in range(180)]
+    fact = materialise(spark.createDataFrame(lines, "transaction_id string, produit_id string, magasin_id string, client_id string, "
+                                             "quantite int, prix_unitaire_xaf decimal(15,2), montant_total_xaf decimal(15,2)"), "fact")
+    catalogue = spark.createDataFrame([(f"P{i}", f"nom {i}", "c" if i != 8 else None) for i in range(9)],
+                                      "produit_id string, nom_produit string, categorie string")
+    counted, plain = [], A.with_distinct_counts
+    monkeypatch.setattr(A, "with_distinct_counts", lambda out, df, *more: counted.append(df) or plain(out, df, *more))
+    for products in (None, catalogue):
+        whole = {r["produit_id"]: r for r in A.product_sales(fact, products, written=True).collect()}
+        del counted[:]
+        best = A.top_products(fact, 3, products, written=True).collect()
+        assert [r["produit_id"] for r in best] == (["P8", "P7", "P6"] if products is None else ["P7", "P6", "P5"])
+        assert all(r[c] == whole[r["produit_id"]][c] for r in best for c in whole["P5"].asDict())
+        assert max(df.count() for df in counted if "magasin_id" in df.columns and "quantite" not in df.columns) == 60
+
+
 def test_the_aggregated_fact_holds_the_columns_in_use(star):
     fact = Q.aggregated_fact(star, star.transactions())
     assert set(fact.columns) == set(Q.A.AGGREGATED_COLUMNS) and "jour_semaine" not in fact.columns
